@@ -3,8 +3,12 @@
 from __future__ import annotations
 
 from .neardup import op3_minhash_near_dedup
+from .rules import OP9_SQL, op9_quality_rules
 
 QUERIES = {
     "op3_minhash_near_dedup": op3_minhash_near_dedup,
+    "op9_quality_rules": op9_quality_rules,
+}
+ORACLE_SQL: dict[str, str] = {
+    "op9_quality_rules": OP9_SQL,
 }
-ORACLE_SQL: dict[str, str] = {}
