@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+from .mixing import OP5_SQL, op5_weighted_fair_mixing
 from .neardup import op3_minhash_near_dedup
 from .rules import OP9_SQL, op9_quality_rules
 
 QUERIES = {
     "op3_minhash_near_dedup": op3_minhash_near_dedup,
+    "op5_weighted_fair_mixing": op5_weighted_fair_mixing,
     "op9_quality_rules": op9_quality_rules,
 }
 ORACLE_SQL: dict[str, str] = {
+    "op5_weighted_fair_mixing": OP5_SQL,
     "op9_quality_rules": OP9_SQL,
 }
