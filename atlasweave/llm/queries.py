@@ -5,11 +5,13 @@ from __future__ import annotations
 from .mixing import OP5_SQL, op5_weighted_fair_mixing
 from .neardup import op3_minhash_near_dedup
 from .rules import OP9_SQL, op9_quality_rules
+from .sharding import op10_balanced_sharding
 
 QUERIES = {
     "op3_minhash_near_dedup": op3_minhash_near_dedup,
     "op5_weighted_fair_mixing": op5_weighted_fair_mixing,
     "op9_quality_rules": op9_quality_rules,
+    "op10_balanced_sharding": op10_balanced_sharding,
 }
 ORACLE_SQL: dict[str, str] = {
     "op5_weighted_fair_mixing": OP5_SQL,
