@@ -24,6 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from . import tokens
 from .components import connected_components
@@ -121,13 +122,14 @@ def _sketches(p: NearDup):
                         batch.column(0).slice(lo, hi - lo),
                         batch.column(1).slice(lo, hi - lo),
                         batch.column(2).slice(lo, hi - lo),
+                        batch.column(3).slice(lo, hi - lo),
                         pa.array(n.astype(np.int64)),
                         pa.array(k1.view(np.int64)),
                         pa.array(k2.view(np.int64)),
                         pa.array(bands, type=pa.list_(pa.int64())),
                         pa.array(odd, type=pa.binary()),
                     ],
-                    names=["uid", "text", "id", "n_shingles", "k1", "k2", "bands", "odd"],
+                    names=["uid", "text", "id", "row", "n_shingles", "k1", "k2", "bands", "odd"],
                 )
 
     return run
@@ -218,9 +220,11 @@ def _check(pairs: DataFrame, nodes: DataFrame, p: NearDup, scratch: Scratch, ske
     return out
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", params: NearDup | None = None) -> DataFrame:
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", params: NearDup | None = None, carry: bool = False) -> DataFrame:
     """One row per row of ``docs``: its id, ``n_shingles``, ``component_id``, ``kept``, ``keeper``.
 
+    With ``carry``: the rows of ``docs`` that are keepers, with their columns as they were.
+
     Words are runs of anything but ASCII white space, A-Z lowered.  ``component_id``
     is the smallest id reachable over links; ``kept`` says that the row has that
     id; ``keeper`` is true for exactly one row of each group, also when ids repeat.
@@ -234,8 +238,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     p = params or NearDup()
     spark = docs.sparkSession
     scratch = Scratch(spark, "neardup")
-    source = docs.select(F.monotonically_increasing_id().alias("uid"), F.col(text_col).alias("text"), F.col(id_col).cast("long").alias("id"))
-    base = scratch.write(source.mapInArrow(_sketches(p), "uid long, text string, id long, n_shingles long, k1 long, k2 long, bands array<long>, odd binary"), "sketches")
+    source = docs.select(F.monotonically_increasing_id().alias("uid"), F.col(text_col).alias("text"), F.col(id_col).cast("long").alias("id"), F.struct(*[c for c in docs.columns if c != text_col]).alias("row") if carry else F.lit(None).cast("boolean").alias("row"))
+    schema = T.StructType([*source.schema.fields, *T._parse_datatype_string("n_shingles long, k1 long, k2 long, bands array<long>, odd binary").fields])
+    base = scratch.write(source.mapInArrow(_sketches(p), schema), "sketches")
 
     some = base.where("n_shingles > 0")
     classes = scratch.write(some.groupBy("k1", "k2").agg(F.min("uid").alias("rep")), "classes")
@@ -275,12 +280,16 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     roots = classes.join(comps.withColumnRenamed("node", "rep"), "rep", "left").select("k1", "k2", F.coalesce("component", "rep").alias("root"))
     filled = rows.where("n_shingles > 0").join(roots, ["k1", "k2"]).select("uid", "id", "n_shingles", "root")
     grouped = scratch.write(filled.unionByName(rows.where("n_shingles = 0").withColumn("root", F.col("uid")).select("uid", "id", "n_shingles", "root")), "grouped")
-    scratch.drop(base, classes, members, *tested)
+    scratch.drop(classes, members, *tested, *([] if carry else [base]))
     lone = grouped.groupBy("root").agg(F.min("id").alias("component_id"), F.count("*").alias("size"))
     big = lone.where("size > 1")
     keeper = grouped.join(big, "root", "left").withColumn("component_id", F.when(F.col("size").isNull(), F.col("id")).otherwise(F.col("component_id")))
     mark = keeper.where("size > 1 and id <=> component_id").groupBy("root").agg(F.min("uid").alias("keeper_uid"))
-    return keeper.join(mark, "root", "left").select(F.col("id").alias(id_col), "n_shingles", "component_id", F.expr("id <=> component_id").alias("kept"), F.coalesce(F.col("uid") == F.col("keeper_uid"), F.lit(True)).alias("keeper"), "uid")
+    marked = keeper.join(mark, "root", "left").withColumn("keeper", F.coalesce(F.col("uid") == F.col("keeper_uid"), F.lit(True)))
+    if carry:
+        left = base.select("uid", "text", "row").join(marked.where("keeper").select("uid"), "uid", "left_semi")
+        return left.select(*[F.col("text").alias(c) if c == text_col else F.col("row").getField(c).alias(c) for c in docs.columns])
+    return marked.select(F.col("id").alias(id_col), "n_shingles", "component_id", F.expr("id <=> component_id").alias("kept"), "keeper")
 
 
 def _union(frames: list[DataFrame]) -> DataFrame:
@@ -292,4 +301,4 @@ def _union(frames: list[DataFrame]) -> DataFrame:
 
 def op3_minhash_near_dedup(spark, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    return near_duplicates(docs).select("doc_id", "n_shingles", "component_id", "kept", "keeper")
+    return near_duplicates(docs)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from .decontaminate import op4_benchmark_decontamination
 from .mixing import OP5_SQL, op5_weighted_fair_mixing
 from .neardup import op3_minhash_near_dedup
 from .rules import OP9_SQL, op9_quality_rules
@@ -9,6 +10,7 @@ from .sharding import op10_balanced_sharding
 
 QUERIES = {
     "op3_minhash_near_dedup": op3_minhash_near_dedup,
+    "op4_benchmark_decontamination": op4_benchmark_decontamination,
     "op5_weighted_fair_mixing": op5_weighted_fair_mixing,
     "op9_quality_rules": op9_quality_rules,
     "op10_balanced_sharding": op10_balanced_sharding,
