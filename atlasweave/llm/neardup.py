@@ -1,22 +1,22 @@
 """MinHash near-duplicates with odd sketches.
 
-Each text becomes the set of its distinct word shingles.  A row's MinHash
-samples are used twice: a part of them, in bands, finds candidates; all of them
-are folded into an odd sketch, a bitmap of parities, and the population count of
-the XOR of two sketches estimates how many samples differ (Mitzenmacher, Pagh
-and Pham, 2014).  Candidates that pass the estimate are confirmed on the full
-shingle sets; components of the confirmed links are the groups.
+Each text becomes the set of its distinct word shingles.  MinHash samples under
+independent hashes, in bands, find candidates.  The bottom-k MinHash sample (the k
+smallest shingle hashes; all of a set that has no more) is folded into an odd
+sketch, a bitmap of parities: the population count of the XOR of two sketches
+tells how many samples differ, and for high similarities tells it precisely
+(Mitzenmacher, Pagh and Pham, 2014).  Candidates that it lets pass are confirmed
+on the full shingle sets; components of the confirmed links are the groups.
 
 Equal sets are one class before anything is paired.  In a band's bucket each
 class is first compared with the bucket's smallest class only.  Where that
 leaves a bucket in several components, its classes are compared in blocks, each
-naming its few best partners in another component, in rounds of growing
-number; the last round has no limit, so no candidate pair is lost.
+naming its closest partners in another component, in rounds of growing number;
+the last round has no limit, so no candidate pair is lost.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -39,61 +39,61 @@ class NearDup:
 
     ngram: int = 5
     percent: int = 85
-    samples: int = 256  # MinHash samples of an odd sketch
     bands: int = 24  # a pair at 0.85 shares none of 24 bands of 5 rows once in a million
     rows: int = 5
-    bits: int = 1024  # of an odd sketch
-    deviations: float = 5.0  # of the estimate below the threshold at which a candidate is let go
+    samples: int = 1024  # smallest hashes that are folded
+    bits: int = 2048  # of an odd sketch
+    deviations: float = 5.0  # by which a candidate's differing bits may exceed those of the threshold
     block: int = 256  # classes of a bucket that are compared at once
-    rounds: tuple[int, ...] = (4, 64, 0)  # partners named in each round; 0: all
+    rounds: tuple[int, ...] = (1, 16, 0)  # partners named in each round; 0: all
 
     def __post_init__(self) -> None:
-        if self.ngram < 1 or not 50 <= self.percent <= 100 or self.bands * self.rows > self.samples or self.bits % 64:
+        if self.ngram < 1 or not 50 <= self.percent <= 100 or self.bands < 1 or self.rows < 1 or self.samples < 1 or self.bits % 64:
             raise ValueError(f"bad parameters: {self}")
 
-    @property
-    def most_bits(self) -> int:
-        """Differing bits of two sketches beyond which a candidate can't be a link."""
+    def most_bits(self, n: np.ndarray, m: np.ndarray) -> np.ndarray:
+        """Differing bits of two sketches, of sets of n and m, beyond which they can't be a link; below 0 where sizes rule it out."""
+        small, large = np.minimum(n, m).astype(float), np.maximum(n, m).astype(float)
         j = self.percent / 100
-        low = max(0.0, j - self.deviations * math.sqrt(j * (1 - j) / self.samples) - 0.02)
-        odd = 2 * self.samples * (1 - low)
-        return math.ceil(self.bits * (1 - (1 - 2 / self.bits) ** odd) / 2)
+        part = np.minimum(1.0, self.samples / large)  # of either set that the smaller of two samples reaches
+        differ = part * (small + large) * (1 - j) / (1 + j)
+        beyond = np.minimum(small, self.samples) - part * small  # samples of the smaller set that lie above it
+        spread = np.sqrt(differ * (1 - part) + beyond * (1 - part)) * 2
+        most = differ + beyond + self.deviations * spread + 1
+        folded = self.bits * (1 - np.exp(-2 * most / self.bits)) / 2
+        out = folded + self.deviations * np.sqrt(2 * most * most / self.bits)
+        return np.where(100 * small < self.percent * large, -1.0, np.minimum(out, most))
 
 
 def _sample_hashes(p: NearDup) -> tuple[np.ndarray, np.ndarray]:
     rng = np.random.default_rng(77)
-    return rng.integers(0, 2**31, p.samples, dtype=U32) * U32(2) + U32(1), rng.integers(0, 2**32, p.samples, dtype=U32)
+    return rng.integers(0, 2**31, p.bands * p.rows, dtype=U32) * U32(2) + U32(1), rng.integers(0, 2**32, p.bands * p.rows, dtype=U32)
 
 
 def minhash(sets: np.ndarray, bounds: np.ndarray, p: NearDup) -> np.ndarray:
-    """n_rows x samples, of rows whose sets aren't empty."""
+    """n_rows x (bands * rows) minima, of rows whose sets aren't empty."""
     mult, add = _sample_hashes(p)
     x = (sets >> U64(32)).astype(U32)
-    out = np.empty((len(bounds) - 1, p.samples), dtype=U32)
+    out = np.empty((len(bounds) - 1, len(mult)), dtype=U32)
     scratch = np.empty_like(x)
     with np.errstate(over="ignore"):
-        for i in range(p.samples):
+        for i in range(len(mult)):
             np.multiply(x, mult[i], out=scratch)
             np.add(scratch, add[i], out=scratch)
             out[:, i] = np.minimum.reduceat(scratch, bounds[:-1])
     return out
 
 
-def odd_sketch(samples: np.ndarray, p: NearDup) -> np.ndarray:
-    """n_rows x (bits / 8) bytes: the parity of how many (sample number, value) fall on each bit."""
-    n, k = samples.shape
-    bit = tokens.mix(samples.astype(U64) + (np.arange(k, dtype=U64) << U64(32))) % U64(p.bits)
-    flat = (np.arange(n)[:, None] * p.bits + bit.astype(np.int64)).ravel()
-    parity = (np.bincount(flat, minlength=n * p.bits) & 1).astype(np.uint8).reshape(n, p.bits)
+def odd_sketch(sets: np.ndarray, bounds: np.ndarray, p: NearDup) -> np.ndarray:
+    """n_rows x (bits / 8) bytes: the parity of how many of a row's samples fall on each bit; sets are sorted."""
+    n = len(bounds) - 1
+    row = np.repeat(np.arange(n), np.diff(bounds))
+    taken = np.arange(len(sets)) - bounds[row] < p.samples
+    bit = (tokens.mix(sets[taken]) % U64(p.bits)).astype(np.int64)
+    parity = (np.bincount(row[taken] * p.bits + bit, minlength=n * p.bits) & 1).astype(np.uint8).reshape(n, p.bits)
     return np.packbits(parity, axis=1)
 
 
-def estimate(differing_bits: float, p: NearDup) -> float:
-    """Similarity that so many differing bits of two sketches stand for."""
-    share = min(2 * differing_bits / p.bits, 1 - 1e-9)
-    return 1 + p.bits / 2 * math.log(1 - share) / (2 * p.samples)
-
-
 def _sketches(p: NearDup):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -111,10 +111,10 @@ def _sketches(p: NearDup):
                         k1[full] = tokens.mix(np.add.reduceat(sets, at[:-1]) + n[full].astype(U64))
                         k2[full] = tokens.mix(np.add.reduceat(tokens.mix(sets ^ U64(0x5BF03635F0A31B85)), at[:-1]))
                     samples = minhash(sets, at, p)
-                    used = samples[:, : p.bands * p.rows].reshape(len(full), p.bands, p.rows).astype(U64)
+                    used = samples.reshape(len(full), p.bands, p.rows).astype(U64)
                     with np.errstate(over="ignore"):
                         key = (used * tokens._STEP[: p.rows]).sum(axis=2, dtype=U64) + np.arange(p.bands, dtype=U64) * U64(0x9E3779B97F4A7C15)
-                    key, sketch = tokens.mix(key).view(np.int64), odd_sketch(samples, p)
+                    key, sketch = tokens.mix(key).view(np.int64), odd_sketch(sets, at, p)
                     for i, row in enumerate(full):
                         bands[row], odd[row] = key[i], sketch[i].tobytes()
                 yield pa.record_batch(
@@ -136,13 +136,14 @@ def _sketches(p: NearDup):
 
 
 def _close(p: NearDup):
-    """Keeps pairs whose sketches (columns oa, ob) differ in few enough bits."""
+    """Keeps pairs whose sketches (columns oa, ob; sizes na, nb) differ in few enough bits."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
                 a, b = (_stack(batch.column(i)) for i in (2, 3))
-                ok = pa.array(np.bitwise_count(a ^ b).sum(axis=1) <= p.most_bits)
+                n, m = (batch.column(i).to_numpy() for i in (4, 5))
+                ok = pa.array(np.bitwise_count(a ^ b).sum(axis=1) <= p.most_bits(n, m))
                 yield pa.record_batch([batch.column(i).filter(ok) for i in (0, 1)], names=["a", "b"])
 
     return run
@@ -183,23 +184,28 @@ def _confirmed(p: NearDup):
 
 
 def _partners(p: NearDup, most: int):
-    """Of two blocks of a bucket: for each class its closest partners of another component."""
+    """Of two blocks of a bucket: for each class its closest partners of another component.
+
+    A pair that meets in several bands counts in the first of them only.
+    """
 
     def run(table):
-        uid = table.column("uid").to_numpy()
-        comp = table.column("component").to_numpy()
-        side = table.column("side").to_numpy()
+        uid, comp, side, n = (table.column(c).to_numpy() for c in ("uid", "component", "side", "n_shingles"))
         odd = _stack(table.column("odd").combine_chunks())
+        bands = np.array(table.column("bands").combine_chunks().flatten()).reshape(len(uid), -1)
+        band = table.column("band")[0].as_py()
         left, right = np.flatnonzero(side != 1), np.flatnonzero(side != 0)
         out_a, out_b = [], []
         for i in left:
-            far = np.bitwise_count(odd[right] ^ odd[i]).sum(axis=1)
-            ok = (far <= p.most_bits) & (comp[right] != comp[i])
-            if most and ok.sum() > most:
-                ok &= far <= np.partition(far[ok], most - 1)[most - 1]
-            ok = right[ok]
-            out_a.append(np.minimum(uid[i], uid[ok]))
-            out_b.append(np.maximum(uid[i], uid[ok]))
+            to = right[comp[right] != comp[i]]
+            to = to[~(bands[to, :band] == bands[i, :band]).any(axis=1)]
+            far = np.bitwise_count(odd[to] ^ odd[i]).sum(axis=1)
+            near = far <= p.most_bits(n[to], n[i])
+            to, far = to[near], far[near]
+            if most and len(to) > most:
+                to = to[np.argpartition(far, most - 1)[:most]]
+            out_a.append(np.minimum(uid[i], uid[to]))
+            out_b.append(np.maximum(uid[i], uid[to]))
         empty = np.zeros(0, np.int64)
         return pa.table({"a": np.concatenate([empty, *out_a]), "b": np.concatenate([empty, *out_b])})
 
@@ -209,8 +215,8 @@ def _partners(p: NearDup, most: int):
 def _check(pairs: DataFrame, nodes: DataFrame, p: NearDup, scratch: Scratch, sketched: bool) -> DataFrame:
     """Pairs (a < b) with ``ok``: whether their full sets confirm the link."""
     if not sketched:
-        odd = nodes.select("uid", "odd")
-        pairs = pairs.join(odd.toDF("a", "oa"), "a").join(odd.toDF("b", "ob"), "b").select("a", "b", "oa", "ob").mapInArrow(_close(p), "a long, b long")
+        odd = nodes.select("uid", "odd", "n_shingles")
+        pairs = pairs.join(odd.toDF("a", "oa", "na"), "a").join(odd.toDF("b", "ob", "nb"), "b").select("a", "b", "oa", "ob", "na", "nb").mapInArrow(_close(p), "a long, b long")
     pairs = scratch.write(pairs, "candidates")
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("uid")).distinct()
     sets = scratch.write(nodes.select("uid", "text").join(wanted, "uid", "left_semi").mapInArrow(_sets(p), "uid long, shingles binary"), "sets")
@@ -245,9 +251,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     some = base.where("n_shingles > 0")
     classes = scratch.write(some.groupBy("k1", "k2").agg(F.min("uid").alias("rep")), "classes")
     nodes = base.join(classes.select(F.col("rep").alias("uid")), "uid", "left_semi")
-    keyed = nodes.select("uid", F.explode("bands").alias("bucket"))
-    starts = keyed.groupBy("bucket").agg(F.min("uid").alias("start"), F.count("*").alias("n")).where("n > 1")
-    members = scratch.write(keyed.join(starts, "bucket"), "buckets")
+    keyed = nodes.select("uid", F.posexplode("bands").alias("band", "bucket"))
+    starts = keyed.groupBy("band", "bucket").agg(F.min("uid").alias("start"), F.count("*").alias("n")).where("n > 1")
+    members = scratch.write(keyed.join(starts, ["band", "bucket"]), "buckets")
 
     stars = members.where("uid <> start").select(F.col("start").alias("a"), F.col("uid").alias("b")).distinct()
     checked = _check(stars, nodes, p, scratch, sketched=False)
@@ -255,9 +261,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     for most in p.rounds:
         links = _union(tested).where("ok").select("a", "b")
         comps = scratch.write(connected_components(links, scratch), "components")
-        labelled = members.join(comps.withColumnRenamed("node", "uid"), "uid", "left").select("bucket", "uid", F.coalesce("component", "uid").alias("component"))
-        split = labelled.groupBy("bucket").agg(F.min("component").alias("c0"), F.max("component").alias("c1"), F.count("*").alias("n")).where("c0 < c1 and n > 2").select("bucket", F.ceil(F.col("n") / p.block).cast("int").alias("parts"))
-        open_rows = scratch.write(labelled.join(split, "bucket"), "open")
+        labelled = members.join(comps.withColumnRenamed("node", "uid"), "uid", "left").select("band", "bucket", "uid", F.coalesce("component", "uid").alias("component"))
+        split = labelled.groupBy("band", "bucket").agg(F.min("component").alias("c0"), F.max("component").alias("c1"), F.count("*").alias("n")).where("c0 < c1 and n > 2").select("band", "bucket", F.ceil(F.col("n") / p.block).cast("int").alias("parts"))
+        open_rows = scratch.write(labelled.join(split, ["band", "bucket"]), "open")
         if open_rows.isEmpty():
             scratch.drop(open_rows)
             break
@@ -265,10 +271,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         dealt = (
             open_rows.withColumn("part", part)
             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-            .select("bucket", "component", "uid", F.least("part", "other").alias("p0"), F.greatest("part", "other").alias("p1"), F.when(F.col("part") == F.col("other"), 2).when(F.col("part") < F.col("other"), 0).otherwise(1).alias("side"))
-            .join(nodes.select("uid", "odd"), "uid")
+            .select("band", "bucket", "component", "uid", F.least("part", "other").alias("p0"), F.greatest("part", "other").alias("p1"), F.when(F.col("part") == F.col("other"), 2).when(F.col("part") < F.col("other"), 0).otherwise(1).alias("side"))
+            .join(nodes.select("uid", "odd", "n_shingles", "bands"), "uid")
         )
-        pairs = dealt.groupBy("bucket", "p0", "p1").applyInArrow(_partners(p, most), "a long, b long").distinct()
+        pairs = dealt.groupBy("band", "bucket", "p0", "p1").applyInArrow(_partners(p, most), "a long, b long").distinct()
         for done in tested:
             pairs = pairs.join(done.select("a", "b"), ["a", "b"], "left_anti")
         fresh = _check(pairs, nodes, p, scratch, sketched=True)
