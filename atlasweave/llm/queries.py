@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from .decontaminate import op4_benchmark_decontamination
+from .lm import op7_ppm_scoring
 from .mixing import OP5_SQL, op5_weighted_fair_mixing
 from .neardup import op3_minhash_near_dedup
 from .rules import OP9_SQL, op9_quality_rules
@@ -12,6 +13,7 @@ QUERIES = {
     "op3_minhash_near_dedup": op3_minhash_near_dedup,
     "op4_benchmark_decontamination": op4_benchmark_decontamination,
     "op5_weighted_fair_mixing": op5_weighted_fair_mixing,
+    "op7_ppm_scoring": op7_ppm_scoring,
     "op9_quality_rules": op9_quality_rules,
     "op10_balanced_sharding": op10_balanced_sharding,
 }

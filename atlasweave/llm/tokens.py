@@ -101,15 +101,19 @@ class Words:
 
     def hashes(self) -> np.ndarray:
         """A 64-bit hash of each word; equal words have equal hashes anywhere."""
-        n = len(self.data)
-        if not len(self.start):
-            return np.zeros(0, dtype=np.uint64)
-        with np.errstate(over="ignore"):
-            total = np.empty(n + 1, dtype=np.uint64)
-            total[0] = 0
-            np.cumsum(_BYTE[self.data] * _power("up", n)[:n], out=total[1:])
-            got = (total[self.end] - total[self.start]) * _power("down", n)[self.start]
-        return mix(got)
+        return span_hashes(self.data, self.start, self.end)
+
+
+def span_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """64-bit hashes of the spans data[start:end]."""
+    if not len(start):
+        return np.zeros(0, dtype=np.uint64)
+    with np.errstate(over="ignore"):
+        total = np.empty(len(data) + 1, dtype=np.uint64)
+        total[0] = 0
+        np.cumsum(_BYTE[data] * _power("up", len(data))[: len(data)], out=total[1:])
+        got = (total[end] - total[start]) * _power("down", len(data))[start]
+    return mix(got)
 
 
 def words(raw: np.ndarray, offsets: np.ndarray, lo: int, hi: int, inside: np.ndarray = SPACED) -> Words:
@@ -170,3 +174,45 @@ def shingle_sets(w: Words, n: int) -> tuple[np.ndarray, np.ndarray]:
 def _sort_within(values: np.ndarray, row: np.ndarray) -> np.ndarray:
     first = np.argsort(values)
     return first[np.argsort(row[first], kind="stable")]
+
+
+class Index:
+    """Open addressing from distinct 64-bit keys to rows of value arrays, for many lookups at once."""
+
+    EMPTY = U64(2**64 - 1)
+
+    def __init__(self, keys: np.ndarray):
+        self.shift = U64(64 - max(8, int(2 * len(keys) + 1).bit_length()))
+        self.size = 1 << (64 - int(self.shift))
+        self.keys = np.full(self.size, self.EMPTY, dtype=np.uint64)
+        self.rows = np.zeros(self.size, dtype=np.int32)
+        left = np.arange(len(keys), dtype=np.int32)
+        slot = self.slot(keys)
+        while len(left):
+            free = self.keys[slot] == self.EMPTY
+            first = np.unique(slot[free], return_index=True)[1]
+            taken = np.flatnonzero(free)[first]
+            self.keys[slot[taken]], self.rows[slot[taken]] = keys[left[taken]], left[taken]
+            rest = np.ones(len(left), dtype=bool)
+            rest[taken] = False
+            left, slot = left[rest], (slot[rest] + 1) % self.size
+
+    def slot(self, keys: np.ndarray) -> np.ndarray:
+        with np.errstate(over="ignore"):
+            return ((keys * U64(0x9E3779B97F4A7C15)) >> self.shift).astype(np.int64)
+
+    def find(self, keys: np.ndarray) -> np.ndarray:
+        """Row of each key, or -1."""
+        slot = self.slot(keys)
+        held = self.keys[slot]
+        out = np.where(held == keys, self.rows[slot], np.int32(-1))
+        open_ = np.flatnonzero((held != keys) & (held != self.EMPTY))
+        slot = slot[open_]
+        while len(open_):
+            slot = (slot + 1) % self.size
+            held = self.keys[slot]
+            hit = held == keys[open_]
+            out[open_[hit]] = self.rows[slot[hit]]
+            go = ~hit & (held != self.EMPTY)
+            open_, slot = open_[go], slot[go]
+        return out
