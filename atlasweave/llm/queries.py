@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from .classifier import op1_quality_classifier
 from .decontaminate import op4_benchmark_decontamination
 from .lm import op7_ppm_scoring
 from .mixing import OP5_SQL, op5_weighted_fair_mixing
@@ -10,6 +11,7 @@ from .rules import OP9_SQL, op9_quality_rules
 from .sharding import op10_balanced_sharding
 
 QUERIES = {
+    "op1_quality_classifier": op1_quality_classifier,
     "op3_minhash_near_dedup": op3_minhash_near_dedup,
     "op4_benchmark_decontamination": op4_benchmark_decontamination,
     "op5_weighted_fair_mixing": op5_weighted_fair_mixing,
