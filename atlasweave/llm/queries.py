@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from .classifier import op1_quality_classifier
 from .decontaminate import op4_benchmark_decontamination
+from .html import op6_template_extraction
 from .licenses import op8_license_scan
 from .lm import op7_ppm_scoring
 from .mixing import OP5_SQL, op5_weighted_fair_mixing
@@ -16,6 +17,7 @@ QUERIES = {
     "op3_minhash_near_dedup": op3_minhash_near_dedup,
     "op4_benchmark_decontamination": op4_benchmark_decontamination,
     "op5_weighted_fair_mixing": op5_weighted_fair_mixing,
+    "op6_template_extraction": op6_template_extraction,
     "op7_ppm_scoring": op7_ppm_scoring,
     "op8_license_scan": op8_license_scan,
     "op9_quality_rules": op9_quality_rules,
