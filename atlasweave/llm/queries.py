@@ -11,9 +11,11 @@ from .mixing import OP5_SQL, op5_weighted_fair_mixing
 from .neardup import op3_minhash_near_dedup
 from .rules import OP9_SQL, op9_quality_rules
 from .sharding import op10_balanced_sharding
+from .urls import OP2_SQL, op2_url_filters
 
 QUERIES = {
     "op1_quality_classifier": op1_quality_classifier,
+    "op2_url_filters": op2_url_filters,
     "op3_minhash_near_dedup": op3_minhash_near_dedup,
     "op4_benchmark_decontamination": op4_benchmark_decontamination,
     "op5_weighted_fair_mixing": op5_weighted_fair_mixing,
@@ -24,6 +26,7 @@ QUERIES = {
     "op10_balanced_sharding": op10_balanced_sharding,
 }
 ORACLE_SQL: dict[str, str] = {
+    "op2_url_filters": OP2_SQL,
     "op5_weighted_fair_mixing": OP5_SQL,
     "op9_quality_rules": OP9_SQL,
 }
