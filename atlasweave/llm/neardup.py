@@ -44,7 +44,7 @@ class NearDup:
     samples: int = 1024  # smallest hashes that are folded
     bits: int = 2048  # of an odd sketch
     deviations: float = 5.0  # by which a candidate's differing bits may exceed those of the threshold
-    block: int = 256  # classes of a bucket that are compared at once
+    block: int = 1024  # classes of a bucket that are compared at once
     rounds: tuple[int, ...] = (1, 16, 0)  # partners named in each round; 0: all
 
     def __post_init__(self) -> None:
