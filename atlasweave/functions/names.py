@@ -28,10 +28,14 @@ def strip_marks(text: Column) -> Column:
     return F.translate(text, _GIVEN + _MARKS, _BASE)
 
 
-@F.pandas_udf("string")
-def strip_marks_any(text: pd.Series) -> pd.Series:
+def strip_marks_any(text: Column) -> Column:
     """As ``strip_marks``, for every script."""
-    return text.map(lambda s: s if s is None else "".join(c for c in unicodedata.normalize("NFD", s) if unicodedata.category(c) != "Mn"))
+
+    @F.pandas_udf("string")
+    def plain(texts: pd.Series) -> pd.Series:
+        return texts.map(lambda s: s if s is None else "".join(c for c in unicodedata.normalize("NFD", s) if unicodedata.category(c) != "Mn"))
+
+    return plain(text)
 
 
 # Spellings that stand for each other, each applied by itself.

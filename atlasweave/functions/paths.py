@@ -7,6 +7,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 COMMAND = re.compile(r"([MmLlHhVvCcSsQqTtAaZz])")
@@ -67,9 +68,14 @@ def drawn_points(d: str, samples: int = 20) -> list[tuple[float, float]]:
     return [(float(p.real), float(p.imag)) for p in out]
 
 
-@F.pandas_udf("array<struct<x:double,y:double>>")
-def path_points(d: pd.Series) -> pd.Series:
-    return d.map(lambda s: [{"x": x, "y": y} for x, y in drawn_points(s or "")])
+def path_points(d: Column) -> Column:
+    """Points of path data as an array of structs of x and y."""
+
+    @F.pandas_udf("array<struct<x:double,y:double>>")
+    def points(texts: pd.Series) -> pd.Series:
+        return texts.map(lambda s: [{"x": x, "y": y} for x, y in drawn_points(s or "")])
+
+    return points(d)
 
 
 class Curve:
@@ -108,7 +114,7 @@ class Curve:
         return float(np.abs(np.diff(self.points(np.linspace(t0, t1, samples)))).sum())
 
 
-def sample_paths(paths, samples: int):
+def sample_paths(paths: DataFrame, samples: int) -> DataFrame:
     """``samples`` points of every path: its columns but ``d``, and ``k``, ``t``, ``x``, ``y``."""
     kept = [c for c in paths.columns if c != "d"]
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in paths.schema if f.name != "d") + ", k int, t double, x double, y double"

@@ -15,7 +15,7 @@ VALID_SOURCES = (
 def split_list(text: Column) -> Column:
     """Items between semicolons, outer quotation marks taken off, blanks dropped."""
     inner = F.btrim(F.trim(F.coalesce(text, F.lit(""))), F.lit('"'))
-    return F.filter(F.transform(F.split(inner, ";"), F.trim), lambda x: x != "")
+    return F.filter(F.transform(F.split(inner, ";"), lambda x: F.trim(x)), lambda x: x != "")
 
 
 def parse_notes(text: Column) -> Column:

@@ -80,7 +80,7 @@ def length_px(text: Column) -> Column:
 
 def with_display(style: Column, value: str) -> Column:
     """Style with its display parts set to ``value``, or with one put first."""
-    parts = F.filter(F.transform(F.split(F.coalesce(style, F.lit("")), ";"), F.trim), lambda p: p != "")
+    parts = F.filter(F.transform(F.split(F.coalesce(style, F.lit("")), ";"), lambda p: F.trim(p)), lambda p: p != "")
     is_display = lambda p: F.lower(p).startswith("display")
     new = F.lit(f"display:{value}")
     changed = F.transform(parts, lambda p: F.when(is_display(p), new).otherwise(p))

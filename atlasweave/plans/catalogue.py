@@ -1,32 +1,8 @@
-"""Registered queries and their DuckDB SQL."""
+"""All registered queries of the map, gazetteer and graph operators."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+from . import gazetteer_queries, map_queries  # noqa: F401  (they register)
+from .registry import ORACLE_SQL, QUERIES
 
-
-def enrich_size_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders with their customer's nation, by size class of the order's value."""
-    read = lambda t: spark.read.parquet(f"{sf_dir}/{t}.parquet")
-    worth = F.floor("o_totalprice").cast("long")
-    size = F.when(worth <= 300, 1).when(worth <= 900, 2).when(worth <= 3000, 3).when(worth <= 15000, 4).when(worth <= 49999, 5).otherwise(6)
-    orders = read("orders").select(F.col("o_custkey").alias("c_custkey"), worth.alias("worth"), size.alias("size_category"))
-    by_customer = orders.groupBy("c_custkey", "size_category").agg(F.count("*").alias("n"), F.sum("worth").alias("worth"))
-    placed = by_customer.join(read("customer").select("c_custkey", "c_nationkey"), "c_custkey", "left")
-    by_nation = placed.groupBy("c_nationkey", "size_category").agg(F.sum("n").alias("n_orders"), F.sum("worth").alias("total_worth"))
-    names = read("nation").select(F.col("n_nationkey").alias("c_nationkey"), "n_name")
-    return by_nation.join(names, "c_nationkey", "left").select(F.coalesce("n_name", F.lit("unknown")).alias("province"), F.col("size_category").cast("int").alias("size_category"), "n_orders", "total_worth")
-
-
-QUERIES = {"enrich_size_report": enrich_size_report}
-ORACLE_SQL = {
-    "enrich_size_report": """
-        SELECT coalesce(n_name, 'unknown') AS province,
-               CAST(CASE WHEN w <= 300 THEN 1 WHEN w <= 900 THEN 2 WHEN w <= 3000 THEN 3
-                         WHEN w <= 15000 THEN 4 WHEN w <= 49999 THEN 5 ELSE 6 END AS INTEGER) AS size_category,
-               count(*) AS n_orders, CAST(sum(w) AS BIGINT) AS total_worth
-        FROM (SELECT o_custkey, CAST(floor(o_totalprice) AS BIGINT) AS w FROM orders) o
-        LEFT JOIN customer ON c_custkey = o_custkey LEFT JOIN nation ON n_nationkey = c_nationkey
-        GROUP BY ALL""",
-}
+__all__ = ["ORACLE_SQL", "QUERIES"]

@@ -81,7 +81,7 @@ def placed(rows: DataFrame, transforms: bool = True) -> DataFrame:
     y = F.when(rows["y"].isNull(), 0.0).otherwise(rows["y"].try_cast("double"))
     out = rows.withColumn("_x", x).withColumn("_y", y)
     if transforms:
-        m = affine.compose_all(F.transform("transforms", affine.parse_transform))
+        m = affine.compose_all(F.transform("transforms", lambda x: affine.parse_transform(x)))
         out = out.withColumn("_m", m)
         out = out.withColumn("px", affine.apply_x(F.col("_m"), F.col("_x"), F.col("_y"))).withColumn("py", affine.apply_y(F.col("_m"), F.col("_x"), F.col("_y"))).drop("_m")
     else:
