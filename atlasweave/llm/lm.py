@@ -22,8 +22,8 @@ U64 = np.uint64
 class Scoring:
     order: int = 5  # bytes of the longest context
     nodes: int = 4_000_000  # of the trie's deepest level; a shorter context is taken where the corpus has more
-    hot_words: int = 1_000_000  # most frequent words that are looked up in memory; all others by a join
-    flush: int = 4_000_000  # keys that a task counts before it merges them
+    hot_words: int = 500_000  # most frequent words that are looked up in memory; all others by a join
+    flush: int = 2_000_000  # keys that a task counts before it merges them
 
     def __post_init__(self) -> None:
         if not 0 <= self.order <= 6 or self.nodes < 1 or self.hot_words < 0 or self.flush < 1:
@@ -166,7 +166,7 @@ def score_documents(docs: DataFrame, held_out: Column, id_col: str = "doc_id", t
     deepest = entries.groupBy(F.col("key").bitwiseAND(F.lit((1 << (8 * (order + 1))) - 1)).alias("k")).agg(F.sum("n").alias("n")).orderBy("k").toArrow()
 
     by_size = words.groupBy(F.floor(F.log2("n")).cast("int").alias("power")).count().orderBy(F.col("power").desc()).collect()  # 63 rows at most
-    least, held = 63, 0
+    least, held = 62, 0  # none
     for r in by_size:
         if held + r["count"] > p.hot_words:
             break

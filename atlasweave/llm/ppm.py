@@ -95,45 +95,44 @@ class Model:
     """A trained trie from the counts of its longest (context, symbol) keys."""
 
     def __init__(self, keys: np.ndarray, counts: np.ndarray, order: int):
-        self.order = order
-        log = lambda x: np.log10(np.maximum(x, 1e-300))
-        levels = []
-        own, n = keys, counts
-        for k in range(order, -1, -1):
-            own, inverse = np.unique(own & U64((1 << (8 * (k + 1))) - 1), return_inverse=True)
-            n = np.bincount(inverse, weights=counts if k == order else None, minlength=len(own)).astype(float)
-            ctx, of = np.unique(own >> U64(8), return_inverse=True)
-            levels.append([own, n, ctx, of, np.bincount(of, weights=n, minlength=len(ctx)), np.bincount(of, minlength=len(ctx)).astype(float)])
-        levels = levels[::-1]
-        self.levels = []
-        for k, (own, n, ctx, of, total, kinds) in enumerate(levels):
+        self.order, self.floor, self.seen = order, math.log10(256), len(keys) > 0
+        self.levels: list[dict] = []
+        if not self.seen:
+            return
+        log = lambda x: np.log10(np.maximum(x, 1e-300)).astype(np.float32)
+        sort = np.argsort(keys)
+        counted = [(keys[sort], counts[sort].astype(float))]
+        for k in range(order - 1, -1, -1):
+            own, n = np.unique(counted[-1][0] & U64((1 << (8 * (k + 1))) - 1), return_counts=True)
+            counted.append((own, n.astype(float)))
+        low: tuple = ()
+        for k in range(order + 1):
+            own, n = counted.pop()
+            first = np.flatnonzero(np.append(True, own[1:] >> U64(8) != own[:-1] >> U64(8)))
+            ctx, kinds, total = own[first] >> U64(8), np.diff(np.append(first, len(own))), np.add.reduceat(n, first)
+            of = np.repeat(np.arange(len(ctx), dtype=np.int32), kinds)
             # for one level below: what is left there once this context's symbols are excluded
             if k:
-                low = levels[k - 1]
+                low_own, low_n, low_ctx, low_total, low_kinds = low
                 mask = U64((1 << (8 * (k - 1))) - 1)
-                suffix = ctx & mask
-                at = np.searchsorted(low[2], suffix)
-                below = np.searchsorted(low[0], ((ctx[of] & mask) << U64(8)) | (own & U64(255)))
-                gone = np.bincount(of, weights=low[1][below], minlength=len(ctx))
-                t, d = low[4][at] - gone, low[5][at] - kinds
+                at = np.searchsorted(low_ctx, ctx & mask)
+                gone = np.add.reduceat(low_n[np.searchsorted(low_own, own & U64((1 << (8 * k)) - 1))], first)
+                d = low_kinds[at] - kinds
+                rest = 2 * (low_total[at] - gone)
+            else:
+                d = rest = 256 - kinds
+            direct = log(2 * n - 1) - log(2 * total)[of]
+            entry = Index(own)
+            level = {"entry": entry, "direct": direct, "context": Index(ctx), "escape": log(kinds) - log(2 * total)}
+            level["below"] = np.where(d > 0, log(rest), np.float32(0))
+            level["below_escape"] = np.where(d > 0, log(d) - log(rest), np.float32(0))
+            if k < order:
+                level["count"] = log(2 * n - 1)
             else:
-                t, d = np.zeros(len(ctx)), 256 - kinds
-            rest = 2 * t if k else d
-            self.levels.append(
-                {
-                    "entry": Index(own),
-                    "direct": log(2 * n - 1) - log(2 * total[of]),
-                    "count": log(2 * n - 1),
-                    "context": Index(ctx),
-                    "escape": log(kinds) - log(2 * total),
-                    "below": np.where(d > 0, log(rest), 0.0),
-                    "below_escape": np.where(d > 0, log(d) - log(rest), 0.0),
-                }
-            )
-        self.floor = math.log10(256)
-        self.seen = len(keys) > 0
-        top = self.levels[order]
-        self.fast = top["direct"][top["entry"].rows] if self.seen else np.zeros(0)  # by slot, for the slots that hold a key
+                level["count"] = direct  # nothing is above it, so it is never entered with exclusions
+                self.fast = direct[entry.rows]  # by slot, for the slots that hold a key
+            self.levels.append(level)
+            low = own, n, ctx, total, kinds
 
     def logs(self, keys: np.ndarray) -> np.ndarray:
         """log10 probability of the symbol of each key after its context."""
