@@ -152,12 +152,19 @@ def token(host: str, path: str, text: str | None = None) -> int:
     return xxhash.xxh3_64_intdigest(f"{host}\x00{path}" if text is None else f"{host}\x00{path}\x00{text}") - 2**63
 
 
-def main_text(host: str, html: str, template: frozenset[int] | set[int]) -> str:
-    """Text of the article: the blocks that are neither marked as something else nor fixed text of the template."""
+def main_text(host: str, html: str, template: frozenset[int], everywhere: frozenset[int]) -> str:
+    """Text of the article: the blocks that are neither marked as something else nor fixed text of the template.
+
+    Within an article only what every page of the host has at that place is fixed,
+    and only beside text that isn't: pages that are copies of one another keep theirs.
+    """
     _, blocks = parse(html)
-    left = [b for b in blocks if not b.dropped and not (template and token(host, b.path, b.text) in template)]
+    left = [b for b in blocks if not b.dropped]
     inside = [b for b in left if b.inside]
-    return " ".join(b.text for b in (inside or left))
+    own = inside or left
+    fixed = everywhere if inside else template
+    free = [b for b in own if token(host, b.path, b.text) not in fixed] if fixed else own
+    return " ".join(b.text for b in (free or own))
 
 
 def _tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -185,17 +192,17 @@ def _tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    known: dict[str, frozenset[int]] = {}
+    known: dict[str, tuple[frozenset[int], frozenset[int]]] = {}
     for batch in batches:
-        uid, host, html, template = batch.columns
+        row, host, html, *fixed = batch.columns
         out = []
-        for h, x, t in zip(host.to_pylist(), html.to_pylist(), template, strict=True):
+        for h, x, t, e in zip(host.to_pylist(), html.to_pylist(), *fixed, strict=True):
             if h not in known:
                 if len(known) > 1000:
                     known.clear()
-                known[h] = frozenset(t.as_py() or ())
-            out.append(main_text(h, x, known[h]))
-        yield pa.record_batch([uid, pa.array(out, pa.string())], names=["row", "text"])
+                known[h] = frozenset(t.as_py() or ()), frozenset(e.as_py() or ())
+            out.append(main_text(h, x, *known[h]))
+        yield pa.record_batch([row, pa.array(out, pa.string())], names=["row", "text"])
 
 
 def extract_pages(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", params: Extraction | None = None) -> DataFrame:
@@ -219,8 +226,8 @@ def extract_pages(pages: DataFrame, id_col: str = "page_id", url_col: str = "url
     classes = often.groupBy("host", "vector", "pages", "total").agg(F.max("element").alias("has_element"), F.count("*").alias("size"))
     valid = classes.where("has_element and size > 1 and total = pages").select("host", "vector", "pages", "total")
     fixed = often.where("not element").join(valid, ["host", "vector", "pages", "total"], "left_semi")
-    template = scratch.write(fixed.groupBy("host").agg(F.collect_set("token").alias("template")), "template")
-    texts = rows.join(template, "host", "left").select("row", "host", "html", "template").mapInArrow(_extract, rows.select("row", F.lit("").alias("text")).schema)
+    template = scratch.write(fixed.groupBy("host").agg(F.collect_set("token").alias("template"), F.collect_set(F.when(F.col("pages") == F.col("of"), F.col("token"))).alias("everywhere")), "template")
+    texts = rows.join(template, "host", "left").select("row", "host", "html", "template", "everywhere").mapInArrow(_extract, rows.select("row", F.lit("").alias("text")).schema)
     return texts.select(F.col(f"row.{id_col}").alias(id_col), F.col(f"row.{url_col}").alias(url_col), "text", F.char_length("text").cast("long").alias("n_chars"))
 
 

@@ -197,20 +197,21 @@ def test_bounded_errors_find_what_a_scan_of_all_windows_finds():
 
 
 PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{}</style><script>var t="</p>";</script></head><body><nav><ul><li><a>menu</a></li></ul></nav>
-<div class="ad">buy</div><div class="promo-box">x</div><article><h1>Head &amp;  line</h1><p><b>One %d<br><p>Two<i>three</i>&nbsp;four</p><aside>side</aside><form>in <input></form><p>Follow us</p>
+<div class="ad">buy</div><div class="promo-box">x</div><article><h1>Head &amp;  line %d</h1><p><b>One<br><p>Two<i>three</i>&nbsp;four</p><aside>side</aside><form>in <input></form><p>Follow us</p>
 <table><tr><td>cell</td><td>other</td></tr></table></article><section id="comments"><p>first!</p></section><footer>&copy; f</footer>"""
 
 
 def test_pages(spark):
-    rows = [(i, f"http://h.example/{i}", PAGE % i) for i in range(8)] + [(90, None, None), (91, "nonsense", ""), (92, "http://one.example/", "<p>just text <b>bold</b>tail<p>next&lt;b&gt; <!-- no --> end <span cl"), (None, "http://h.example/0", PAGE % 0)]
+    rows = [(i, f"http://h.example/{i}", PAGE % i) for i in range(8)] + [(80 + i, "http://copies.example/", PAGE % 7) for i in range(6)] + [(90, None, None), (91, "nonsense", ""), (92, "http://one.example/", "<p>just text <b>bold</b>tail<p>next&lt;b&gt; <!-- no --> end <span cl"), (None, "http://h.example/0", PAGE % 0)]
     pages = spark.createDataFrame([(*r, "t", 1) for r in rows], "page_id long, url string, html string, text string, host int")
     got = {r.page_id: r for r in extract_pages(pages).collect()}
     assert len(got) == len(rows)
-    assert got[3].text == "Head & line One 3 Twothree four cell other"  # what every page of the host has at one place goes
+    assert got[3].text == "Head & line 3"  # what every page of the host has at one place is the template's
+    assert got[80].text == "Head & line 7 One Twothree four Follow us cell other"  # a host of copies keeps its text
     assert got[90].text == got[91].text == "" and got[92].text == "just text boldtail next<b> end"
     assert all(r.n_chars == len(r.text) for r in got.values())
     assert extract_pages(pages.where("false")).count() == 0
-    assert main_text("", PAGE % 1, frozenset()) == "Head & line One 1 Twothree four Follow us cell other"
+    assert main_text("", PAGE % 1, frozenset(), frozenset()) == "Head & line 1 One Twothree four Follow us cell other"
 
 
 def test_urls(spark):
