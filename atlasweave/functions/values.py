@@ -85,3 +85,7 @@ def with_display(style: Column, value: str) -> Column:
     new = F.lit(f"display:{value}")
     changed = F.transform(parts, lambda p: F.when(is_display(p), new).otherwise(p))
     return F.array_join(F.when(F.exists(parts, is_display), changed).otherwise(F.concat(F.array(new), parts)), ";")
+
+
+def mobile_portrait(width: Column, height: Column) -> Column:
+    return (width <= 768) & (height > width)

@@ -57,3 +57,23 @@ def first_and_more(rows: DataFrame, line: str, order: str, most: int = 10) -> Da
     top = rows.orderBy(order).limit(most).select(F.col(order).cast("string").alias("at"), F.col(line).alias("line"))
     more = rows.agg((F.count("*") - most).alias("n")).where("n > 0").select(F.lit("~").alias("at"), F.format_string("... and %d more", "n").alias("line"))
     return top.unionByName(more)
+
+
+def reject_log(settlements: DataFrame) -> DataFrame:
+    """Lines about elements that were left out, with why and where; no rows if none was."""
+    bad = settlements.where("reason is not null")
+    return bad.orderBy("doc", "doc_order").select(F.format_string("%s at %s: <%s> %s", "reason", F.array_join("path", "/"), "tag", F.to_json("attrs")).alias("line"))
+
+
+def duplicate_log(duplicates: DataFrame, name: str = "name") -> DataFrame:
+    """Lines about repeated names with all their occurrences, after one with the totals."""
+    total = duplicates.agg(F.count("*").alias("groups"), F.coalesce(F.sum("occurrences"), F.lit(0)).alias("rows")).where("groups > 0")
+    head = total.select(F.lit("").alias("at"), F.format_string("%d names, %d entries", "groups", "rows").alias("line"))
+    return head.unionByName(duplicates.select(F.col(name).alias("at"), F.format_string("%s: %d times %s", F.col(name), F.col("occurrences"), F.to_json("entries")).alias("line"))).orderBy("at")
+
+
+def reconciliation_lines(status: DataFrame, key: str) -> DataFrame:
+    """Summary of a two-sided comparison, then each one-sided key in case-folded order."""
+    summary = status.groupBy("status").agg(F.count("*").alias("n")).select(F.lit(0).alias("part"), F.col("status").alias("at"), F.format_string("%s: %d", "status", "n").alias("line"))
+    single = status.where("status <> 'both'").select(F.lit(1).alias("part"), F.col(key).alias("at"), F.format_string("  %s (%s)", F.col(key), F.col("status")).alias("line"))
+    return summary.unionByName(single).orderBy("part", *casefold_order(F.col("at")))

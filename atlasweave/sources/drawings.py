@@ -216,3 +216,26 @@ def transform_audit(rows: DataFrame, *under: str) -> DataFrame:
 def relabelled(rows: DataFrame) -> DataFrame:
     """Text elements with what their label should be and ``status``: updated, already or no_text."""
     return rows.where("tag = 'text'").select("doc", "doc_order", "path", "label", "name", F.when(F.col("name").isNull(), "no_text").when(F.col("label").eqNullSafe(F.col("name")), "already").otherwise("updated").alias("status"))
+
+
+def layer_visibility(rows: DataFrame, shown: list[str]) -> DataFrame:
+    """Top-level layers with the style that shows those of ``shown`` and hides the rest."""
+    from ..functions.values import with_display
+
+    style = F.col("attrs")["style"]
+    top = rows.where((F.col("depth") == 1) & (F.col("tag") == "g"))
+    return top.select("doc", "doc_order", "label", F.when(F.col("label").isin(shown), with_display(style, "inline")).otherwise(with_display(style, "none")).alias("style"))
+
+
+def roads(rows: DataFrame, samples: int = 20) -> DataFrame:
+    """Paths below the Roads layer as georeferenced points, numbered from 0 by kind; no transforms apply."""
+    from pyspark.sql import Window
+
+    from ..functions import geo
+    from ..functions.paths import path_points
+
+    kind = F.get("path", F.lit(1))
+    found = rows.where(_under("Roads") & (F.col("tag") == "path") & kind.isNotNull())
+    points = F.transform(path_points(F.col("attrs")["d"]), lambda p: F.struct(geo.longitude(p["x"]).alias("x"), geo.latitude(p["y"]).alias("y")))
+    number = F.row_number().over(Window.partitionBy("doc").orderBy("doc_order")) - 1
+    return found.withColumn("road_id", F.format_string("road_%03d", number)).select("doc", "doc_order", "road_id", kind.alias("road_type"), F.col("attrs")["d"].alias("svg_path"), points.alias("points"))

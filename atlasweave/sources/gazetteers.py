@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.values import trimmed_or_null
+from ..functions.values import safe_int, trimmed_or_null
 from ..operators.dedupe import last_wins
 
 _TAIL = "Estate Trade Tags Notes Coordinates Province_2515 Province_2512 Province_2276 Ruler_2515 Ruler_2512 Ruler_2276 wiki_url wiki_title wiki_description wiki_image".split()
@@ -64,3 +64,19 @@ def unpivot_epochs(rows: DataFrame, epochs: tuple[int, ...] = (2515, 2512, 2276)
     """One row per settlement and year with its province and ruler."""
     years = F.array(*[F.struct(F.lit(y).alias("year"), trimmed_or_null(F.col(f"Province_{y}")).alias("province"), trimmed_or_null(F.col(f"Ruler_{y}")).alias("ruler")) for y in epochs])
     return rows.select("Settlement", F.explode(years).alias("e")).select("Settlement", "e.*")
+
+
+def positional_population(rows: DataFrame, name: int = 0, people: int = 1) -> DataFrame:
+    """Names and whole-number populations of header-less rows (``cells`` array); short and other rows go."""
+    value = safe_int(F.get("cells", F.lit(people)))
+    return rows.where(F.size("cells") >= 2).select(F.trim(F.get("cells", F.lit(name))).alias("name"), value.alias("population")).where("population is not null")
+
+
+def first_existing(paths: list[str]) -> str:
+    """The first of several places that exists."""
+    from pathlib import Path
+
+    found = next((p for p in paths if Path(p).exists()), None)
+    if found is None:
+        raise FileNotFoundError(f"none of {paths}")
+    return found

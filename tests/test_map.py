@@ -46,10 +46,29 @@ def test_other_layers(rows):
     scale = drawings.document_scale(rows).first()
     assert scale.scale_x == pytest.approx(200 * 96 / 25.4 / 400)
     assert {r.label: r.transform for r in drawings.transform_audit(rows, "Settlements", "Empire").collect()} == {"Northland": "scale(2)", "Southland": "NO TRANSFORM"}
-    assert drawings.transform_log(rows).count() == 4
+    assert drawings.transform_log(rows).count() == 5
     assert {r.status for r in drawings.relabelled(rows).collect()} == {"updated", "no_text"}
 
 
+def test_roads_layers_and_logs(spark, rows):
+    road = drawings.roads(rows).first()
+    assert (road.road_id, road.road_type) == ("road_000", "Highway") and road.points[0] == (0, 0) and road.points[1].x == pytest.approx(1.7504)
+    line = drawings.roads(rows).select(sinks.line_feature(F.col("points"), [F.col("road_id")]).alias("f")).first().f
+    assert '"LineString"' in line and "road_000" in line
+    shown = {r.label: r.style for r in drawings.layer_visibility(rows, ["Roads"]).collect()}
+    assert shown["Roads"] == "display:inline" and shown["Settlements"] == "display:none"
+    found = drawings.settlements(rows)
+    assert reports.reject_log(found).count() == 3
+    twice = dedupe.duplicates(found.where("reason is null"), ["scope", "name"], "doc_order")
+    assert reports.duplicate_log(twice).first().line == "1 names, 2 entries"
+    status = spark.createDataFrame([("b", "left_only"), ("A", "right_only"), ("c", "both")], "name string, status string")
+    assert [r.line for r in reports.reconciliation_lines(status, "name").collect()][3:] == ["  A (right_only)", "  b (left_only)"]
+    cells = spark.createDataFrame([(["a", "1"],), (["b"],), (["c", "x"],)], "cells array<string>")
+    assert [tuple(r) for r in gazetteers.positional_population(cells).collect()] == [("a", 1)]
+    assert gazetteers.first_existing(["/nowhere", str(MAP)]) == str(MAP)
+    assert spark.range(1).select(values.mobile_portrait(F.lit(400), F.lit(800)).alias("m")).first().m
+
+
 def test_whole_run(spark, rows):
     found = dedupe.first_wins(drawings.settlements(rows).where("reason is null"), ["scope", "name"], "doc_order")
     gaz = spark.createDataFrame([("empire", "Alt Burg", "4000", "a:b; c", "Fur, Ore", "n", "", "T", "", ""), ("empire", "Nowhere", "7", "", "", "", "", "", "", "")], "faction string, name string, Population string, Tags string, Trade string, Notes string, wiki_url string, wiki_title string, wiki_description string, wiki_image string")
