@@ -244,7 +244,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     p = params or NearDup()
     spark = docs.sparkSession
     scratch = Scratch(spark, "neardup")
-    source = docs.select(F.monotonically_increasing_id().alias("uid"), F.col(text_col).alias("text"), F.col(id_col).cast("long").alias("id"), F.struct(*[c for c in docs.columns if c != text_col]).alias("row") if carry else F.lit(None).cast("boolean").alias("row"))
+    source = docs.select(F.monotonically_increasing_id().alias("uid"), F.col(text_col).alias("text"), F.col(id_col).cast("long").alias("id"), F.struct(F.lit(0).alias("_no_column"), *[c for c in docs.columns if c != text_col]).alias("row") if carry else F.lit(None).cast("boolean").alias("row"))
     schema = T.StructType([*source.schema.fields, *T._parse_datatype_string("n_shingles long, k1 long, k2 long, bands array<long>, odd binary").fields])
     base = scratch.write(source.mapInArrow(_sketches(p), schema), "sketches")
 
