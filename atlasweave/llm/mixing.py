@@ -75,14 +75,12 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     queued = running_sum(entries, ["sid"], "bucket", tie, F.col("size"), "done")
     queued = queued.withColumn("finish", (F.col("done") - F.col("size") / 2) / F.col("target"))
     queued = scratch.write(queued.select("uid", "sid", "doc_id", "size", "pass", "key", "finish"), "queued")
-    # the queue of all sources: ranges of finish time, each sorted by itself
-    early = F.col("finish") <= 1  # most of what is taken; sources far above their targets reach on
-    ends = queued.agg(F.count_if(early).alias("n"), F.count_if(~early).alias("more"), F.max("finish").alias("last")).first()
+    # the queue of all sources, range-sorted: each partition is a bucket, so that even crowded times spread
+    turn = [F.col("finish"), F.col("sid"), F.col("pass"), *tie]
+    ranged = scratch.write(queued.repartitionByRange(*turn).withColumn("range", F.spark_partition_id().cast("long")), "ranged")
+    scratch.drop(queued)
     budget = plan.agg(F.sum("target").alias("budget")).first().budget
-    first, rest = -(-ends.n // ROWS), -(-ends.more // ROWS)
-    later = first + 1 + F.floor((F.col("finish") - 1) * F.lit(rest / max((ends.last or 0.0) - 1, 1e-9)))
-    ranged = queued.withColumn("range", F.when(early, F.floor(F.col("finish") * first)).otherwise(later))
-    total = running_sum(ranged, [], "range", [F.col("finish"), F.col("sid"), F.col("pass"), *tie], F.col("size"), "total")
+    total = running_sum(ranged, [], "range", turn, F.col("size"), "total")
     taken = total.where(F.col("total") - F.col("size") / 2 <= F.lit(budget or 0.0)).groupBy("uid").agg(F.sum("size").alias("taken"))
     return planned.join(taken, "uid", "left").select("uid", F.col("doc_id").alias(id_col), "size", "source_size", "target", F.coalesce("taken", F.lit(0).cast("long")).alias("taken"))
 
