@@ -287,11 +287,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     filled = rows.where("n_shingles > 0").join(roots, ["k1", "k2"]).select("uid", "id", "n_shingles", "root")
     grouped = scratch.write(filled.unionByName(rows.where("n_shingles = 0").withColumn("root", F.col("uid")).select("uid", "id", "n_shingles", "root")), "grouped")
     scratch.drop(classes, members, *tested, *([] if carry else [base]))
-    lone = grouped.groupBy("root").agg(F.min("id").alias("component_id"), F.count("*").alias("size"))
-    big = lone.where("size > 1")
-    keeper = grouped.join(big, "root", "left").withColumn("component_id", F.when(F.col("size").isNull(), F.col("id")).otherwise(F.col("component_id")))
-    mark = keeper.where("size > 1 and id <=> component_id").groupBy("root").agg(F.min("uid").alias("keeper_uid"))
-    marked = keeper.join(mark, "root", "left").withColumn("keeper", F.coalesce(F.col("uid") == F.col("keeper_uid"), F.lit(True)))
+    # a group's smallest id and, of the rows with that id, the first; written, so that the join below stands alone and can be split
+    first = F.min(F.struct(F.col("id").isNull().alias("no"), F.col("id"), F.col("uid"))).alias("f")
+    heads = scratch.write(grouped.groupBy("root").agg(first).select("root", F.col("f.id").alias("component_id"), F.col("f.uid").alias("keeper_uid")), "heads")
+    marked = grouped.join(heads, "root").withColumn("keeper", F.col("uid") == F.col("keeper_uid"))
     if carry:
         left = base.select("uid", "text", "row").join(marked.where("keeper").select("uid"), "uid", "left_semi")
         return left.select(*[F.col("text").alias(c) if c == text_col else F.col("row").getField(c).alias(c) for c in docs.columns])
