@@ -56,6 +56,9 @@ class Extraction:
     share: float = 0.2  # of the host's pages that it has at least
 
 
+KEPT, BY_MARK, BY_TAG = 0, 1, 2
+
+
 @dataclass
 class Block:
     path: str
@@ -86,7 +89,8 @@ def parse(html: str) -> tuple[list[str], list[Block]]:
     """Paths of the page's elements, and its text blocks in page order."""
     elements: list[str] = []
     blocks: list[Block] = []
-    stack: list[tuple[str, str, bool, bool]] = [("", "", False, False)]  # tag, path, dropped, inside
+    stack: list[tuple[str, str, int, bool]] = [("", "", KEPT, False)]  # tag, path, dropped, inside
+    met_article = False
     text: list[str] = []
 
     def end_block() -> None:
@@ -95,7 +99,7 @@ def parse(html: str) -> tuple[list[str], list[Block]]:
             text.clear()
             if got:
                 _, path, dropped, inside = owner
-                blocks.append(Block(path, got, dropped, inside))
+                blocks.append(Block(path, got, dropped != KEPT, inside))
 
     owner, at = stack[0], 0
     for m in TOKEN.finditer(html):
@@ -138,7 +142,15 @@ def parse(html: str) -> tuple[list[str], list[Block]]:
         if tag in VOID or m[5].endswith("/") and tag in ("svg", "path"):
             continue
         article = tag in ("article", "main")
-        out = dropped or tag in DROPPED or (marked and tag not in ("html", "body", "main")) or (tag == "header" and not inside)
+        if tag in DROPPED or (tag == "header" and not inside):
+            out = BY_TAG
+        elif marked and tag not in ("html", "body", "main"):
+            out = max(dropped, BY_MARK)
+        elif dropped == BY_MARK and (tag == "main" or (article and not met_article)):
+            out = KEPT  # the mark told of the page's layout, as in "with-sidebar"
+        else:
+            out = dropped
+        met_article |= article and out == KEPT
         stack.append((tag, path, out, inside or article))
     if at < len(html):
         if not text:

@@ -211,6 +211,8 @@ def test_pages(spark):
     assert got[90].text == got[91].text == "" and got[92].text == "just text boldtail next<b> end"
     assert all(r.n_chars == len(r.text) for r in got.values())
     assert extract_pages(pages.where("false")).count() == 0
+    layout = '<body><div class="with-sidebar"><div class="sidebar">no</div><article><p>yes</p></article><div class="comments"><article>no</article></div></div>'
+    assert main_text("", layout, frozenset(), frozenset()) == "yes"
     assert main_text("", PAGE % 1, frozenset(), frozenset()) == "Head & line 1 One Twothree four Follow us cell other"
 
 
