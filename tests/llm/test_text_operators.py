@@ -152,6 +152,21 @@ def test_scores(spark, params):
     assert all(r.score < 0 for r in got)
 
 
+@pytest.mark.parametrize("nodes", [1, 200, 4_000_000])
+def test_scores_are_the_tries_at_every_size(spark, nodes):
+    rows = [r for r in cases.documents() if len(r[1] or "") < 3000] + [(i, t, "a", "", "", "", 0) for i, t in ((200, "zzz w1 w2"), (201, "".join(map(chr, range(32, 127)))))]
+    held = F.col("doc_id").isNotNull() & (F.col("doc_id") % 3 == 2)
+    trie = ppm.Trie(5)
+    for r in rows:
+        if r[0] is None or r[0] % 3 != 2:
+            trie.train(cases.lower(r[1]).encode())
+    got = score_documents(cases.frame(spark, rows), held, params=Scoring(nodes=nodes)).collect()
+    want = [(str(r[0]), trie.cost(cases.lower(r[1]).encode(), False)) for r in rows]
+    have = sorted((str(r.doc_id), r.score) for r in got)
+    assert [k for k, _ in have] == [k for k, _ in sorted(want)]
+    assert [v for _, v in have] == pytest.approx([v for _, v in sorted(want)], rel=1e-6)
+
+
 def test_scores_without_training_rows(spark):
     got = score_documents(cases.frame(spark, cases.documents()[:5]), F.lit(True)).collect()
     assert len(got) == 5 and all(r.n_known == 0 and r.train_tokens == 0 for r in got)
