@@ -1,10 +1,9 @@
-"""Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment.
+"""Benchmark decontamination: n-gram seeds, then Smith-Waterman alignment.
 
-A test item's word n-grams are its seeds.  A first pass counts in how many
-training rows each occurs; of every item the seeds that are rare beside its own
-median stay, so a leak that thousands of rows hold keeps its seeds while stock
-phrases lose theirs.  A second pass finds the seeds in each text, joins hits of an
-item that lie near one diagonal into a passage, and aligns passage and item.
+A test item's word n-grams are its seeds, common or not: edited copies of one
+passage share what few seeds they keep, so a seed's number of rows tells nothing.
+One pass finds the seeds in each text, joins hits of an item that lie near one
+diagonal into a passage, and aligns passage and item.
 
 Test items are a stated query set.  They are held in memory in blocks of a
 bounded number of bytes; a larger set takes more passes over the texts.
@@ -24,12 +23,12 @@ from pyspark.sql import types as T
 from . import tokens
 
 U64 = np.uint64
+HITS = 1 << 20  # of seeds in rows, times the seed's places in items, that are joined at once
 
 
 @dataclass(frozen=True)
 class Decontamination:
     seed_words: int = 3
-    rare: float = 4.0  # seeds in at most so many times the rows of the item's median seed stay
     hits: int = 2  # different seeds that a passage has at least, fewer where the item has no more
     mismatch: float = -0.5  # a match scores 1
     gap: float = -0.5
@@ -37,7 +36,7 @@ class Decontamination:
     block_bytes: int = 16 << 20  # of test items held at once
 
     def __post_init__(self) -> None:
-        if self.seed_words < 1 or self.hits < 1 or not 0 < self.threshold <= 1 or self.rare < 1:
+        if self.seed_words < 1 or self.hits < 1 or not 0 < self.threshold <= 1:
             raise ValueError(f"bad parameters: {self}")
 
 
@@ -64,24 +63,6 @@ class Items:
         seeds, start = np.unique(got[order], return_index=True)
         return cls(np.array(ids, dtype=np.int64), hashes, w.first, seeds, np.append(start, len(got)), row[order], (at - w.first[row])[order])
 
-    def rare(self, rows: np.ndarray, p: Decontamination) -> Items:
-        """The items with their rare seeds only; ``rows``: how many training rows hold each seed."""
-        per = np.repeat(rows, np.diff(self.at))
-        keep = np.zeros(len(per), dtype=bool)
-        for i in range(len(self.ids)):
-            own = np.flatnonzero(self.item == i) if len(self.ids) < 2 else self._own(i)
-            if len(own):
-                keep[own] = per[own] <= p.rare * max(1.0, float(np.median(per[own])))
-        seed = np.repeat(np.arange(len(self.seeds)), np.diff(self.at))[keep]
-        left, start = np.unique(seed, return_index=True)
-        return Items(self.ids, self.words, self.first, self.seeds[left], np.append(start, len(seed)), self.item[keep], self.offset[keep])
-
-    def _own(self, i: int) -> np.ndarray:
-        if not hasattr(self, "_by_item"):
-            self._by_item = np.argsort(self.item, kind="stable")
-            self._bounds = np.searchsorted(self.item[self._by_item], np.arange(len(self.ids) + 1))
-        return self._by_item[self._bounds[i] : self._bounds[i + 1]]
-
     def lookup(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Positions in ``hashes`` that are seeds, and which."""
         if not len(self.seeds):
@@ -131,18 +112,33 @@ def align(a: np.ndarray, b: np.ndarray, p: Decontamination) -> np.ndarray:
 
 
 def _passages(w: tokens.Words, hashes: np.ndarray, items: Items, p: Decontamination):
-    """Candidates: row, item, first and last word (in the block) of the passage."""
+    """Candidates, some rows at a time: row, item, first and last word (in the block) of the passage."""
     got, at = _seeds(hashes, w.first, p.seed_words) if _has_short(items, p) else tokens.ngrams(hashes, w.first, p.seed_words)
     if _has_short(items, p):  # an item of fewer words is sought by its first word
         got, at = np.concatenate([got, hashes]), np.concatenate([at, np.arange(len(hashes))])
     pos, seed = items.lookup(got)
-    counts = (items.at[1:] - items.at[:-1])[seed]
-    pos, src = np.repeat(at[pos], counts), np.repeat(seed, counts)
+    if not len(pos):
+        return
+    row = np.searchsorted(w.first, at[pos], side="right") - 1
+    order = np.argsort(row, kind="stable")
+    pos, seed, row = at[pos][order], seed[order], row[order]
+    start = np.flatnonzero(np.append(True, row[1:] != row[:-1]))
+    end = np.append(start[1:], len(row))
+    total = np.append(0, np.cumsum(np.diff(items.at)[seed]))
+    k = 0
+    while k < len(start):
+        to = max(k + 1, int(np.searchsorted(total[end], total[start[k]] + HITS, side="right")))
+        yield _clusters(w, pos[start[k] : end[to - 1]], seed[start[k] : end[to - 1]], items, p)
+        k = to
+
+
+def _clusters(w: tokens.Words, pos: np.ndarray, seed: np.ndarray, items: Items, p: Decontamination):
+    """``_passages`` from the seeds at given places."""
+    counts = np.diff(items.at)[seed]
+    pos, src = np.repeat(pos, counts), np.repeat(seed, counts)
     step = np.arange(len(src)) - np.repeat(np.cumsum(counts) - counts, counts)
     occ = items.at[src] + step
     item, offset = items.item[occ], items.offset[occ]
-    if not len(pos):
-        return None
     row = np.searchsorted(w.first, pos, side="right") - 1
     diagonal = pos - offset
     order = np.lexsort((diagonal, item, row))
@@ -197,25 +193,6 @@ def _padded(values: np.ndarray, start: np.ndarray, length: np.ndarray, width: in
     return np.where(inside, values[np.where(inside, start[:, None] + at, 0)], U64(pad))
 
 
-def _count(items: Items, p: Decontamination):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(len(items.seeds), dtype=np.int64)
-        for batch in batches:
-            raw, offsets = tokens.text_buffer(batch.column(0))
-            for lo, hi in tokens.blocks(offsets):
-                w = tokens.words(raw, offsets, lo, hi, tokens.ALNUM)
-                hashes = w.hashes()
-                got, at = tokens.ngrams(hashes, w.first, p.seed_words)
-                pos, seed = items.lookup(got)
-                row = np.searchsorted(w.first, at[pos], side="right") - 1
-                pairs = np.unique(row * len(items.seeds) + seed)
-                np.add.at(total, pairs % len(items.seeds), 1)
-        seen = np.flatnonzero(total)
-        yield pa.record_batch([pa.array(seen.astype(np.int32)), pa.array(total[seen])], names=["seed", "n"])
-
-    return run
-
-
 def _judge(items: Items, p: Decontamination, at: int, names: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -225,16 +202,16 @@ def _judge(items: Items, p: Decontamination, at: int, names: list[str]):
             for lo, hi in tokens.blocks(offsets):
                 w = tokens.words(raw, offsets, lo, hi, tokens.ALNUM)
                 hashes = w.hashes()
-                found = _passages(w, hashes, items, p)
-                if found is None or not len(found[0]):
-                    continue
-                got = _scores(hashes, found, items, p)
-                order = np.lexsort((items.ids[found[1]], -got, found[0]))
-                r, s, i = found[0][order], got[order], found[1][order]
-                top = np.append(True, r[1:] != r[:-1])
-                score[lo + r[top]], best[lo + r[top]] = s[top], i[top]
-                over = np.unique(r[s >= p.threshold] * len(items.ids) + i[s >= p.threshold])
-                np.add.at(many, lo + over // len(items.ids), 1)
+                for found in _passages(w, hashes, items, p):
+                    if not len(found[0]):
+                        continue
+                    got = _scores(hashes, found, items, p)
+                    order = np.lexsort((items.ids[found[1]], -got, found[0]))
+                    r, s, i = found[0][order], got[order], found[1][order]
+                    top = np.append(True, r[1:] != r[:-1])
+                    score[lo + r[top]], best[lo + r[top]] = s[top], i[top]
+                    over = np.unique(r[s >= p.threshold] * len(items.ids) + i[s >= p.threshold])
+                    np.add.at(many, lo + over // len(items.ids), 1)
             hit = score >= p.threshold
             ids = pa.array(np.where(hit, items.ids[best], 0) if len(items.ids) else np.zeros(n, np.int64), mask=~hit)
             leak = pa.StructArray.from_arrays([pa.array(hit), ids, pa.array(np.minimum(score, 1.0)), pa.array(many)], names=["contaminated", "item_id", "score", "n_items"])
@@ -263,12 +240,6 @@ def with_leaks(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", it
     for k in range(n_blocks):
         rows = items.where(F.pmod(F.xxhash64("i"), F.lit(n_blocks)) == k).orderBy("i", "t").collect()  # about block_bytes
         block = Items.of([r.i for r in rows], [r.t for r in rows], p)
-        if len(block.seeds):
-            counted = docs.select(text_col).mapInArrow(_count(block, p), "seed int, n long").groupBy("seed").agg(F.sum("n").alias("n")).collect()  # a number per seed
-            held = np.zeros(len(block.seeds), dtype=np.int64)
-            for r in counted:
-                held[r.seed] = r.n
-            block = block.rare(held, p)
         schema = T.StructType([*out.schema.fields, T.StructField("_leak", kind)])
         judged = out.mapInArrow(_judge(block, p, out.columns.index(text_col), out.columns), schema)
         out = judged if k == 0 else _merge(judged)

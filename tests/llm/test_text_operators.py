@@ -111,6 +111,15 @@ def test_common_leak_keeps_its_seeds(spark):
     assert sorted(r.doc_id for r in got.where("_leak.contaminated").collect()) == list(range(150))
 
 
+def test_edited_leak_is_found_in_any_number_of_copies(spark):
+    rng = random.Random(12)
+    item = cases.prose(rng, 32, 9000)
+    edited = " ".join("changed" if k % 4 == 3 else word for k, word in enumerate(item.split()))
+    rows = [(i, cases.prose(rng, 40, 9000) + " " + edited, "a", "", "", "", 0) for i in range(40)] + [(1000, cases.prose(rng, 60, 9000), "a", "", "", "", 0)]
+    got = with_leaks(cases.frame(spark, rows), spark.createDataFrame([(1, item)], "item_id long, text string"))
+    assert sorted(r.doc_id for r in got.where("_leak.contaminated").collect()) == list(range(40))
+
+
 def test_model_is_the_trie():
     rng = random.Random(3)
     docs = [bytes(rng.choice(b"abca ") for _ in range(rng.randint(0, 60))) for _ in range(40)]
