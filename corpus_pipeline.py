@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from atlasweave.llm.decontaminate import with_leaks
 from atlasweave.llm.mixing import mix_sources
-from atlasweave.llm.neardup import near_duplicates
+from atlasweave.llm.neardup import NearDup, near_duplicates
 from atlasweave.llm.rules import with_rules
 from atlasweave.llm.scratch import Scratch
 from atlasweave.llm.sharding import balanced_shards
@@ -25,8 +25,8 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def deduplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies."""
-    return near_duplicates(docs, carry=True)
+    """One document of each group of near copies, of five-word shingles at a similarity of 0.8."""
+    return near_duplicates(docs, params=NearDup(percent=80), carry=True)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

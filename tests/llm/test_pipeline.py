@@ -29,3 +29,13 @@ def test_stages(spark, tmp_path):
             assert sorted(r.doc_id for r in now.collect()) == list(range(40))
     assert counts[4] == counts[3] > 0
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == counts[4]
+
+
+def test_near_dedup_stage_links_at_four_fifths(spark):
+    def edited(n, *places):
+        return " ".join(f"e{n}x{k}" if k in places else f"w{n}x{k}" for k in range(100))
+
+    rows = [(n, edited(n), "a") for n in range(3)] + [(10 + n, edited(n, 30, 60), "b") for n in range(3)]  # 86 of 106 shingles: 0.81
+    rows += [(20, edited(0, 20, 50, 80), "b")]  # 81 of 111: 0.73
+    out = corpus_pipeline.deduplicate(spark, spark.createDataFrame(rows, "doc_id long, text string, source string"), "")
+    assert sorted(r.doc_id for r in out.collect()) == [0, 1, 2, 20]
