@@ -101,10 +101,21 @@ class Finder:
         found = set()
         for i, spans in windows.items():
             for lo, hi in spans:
-                for m in self.patterns[i].finditer(text, lo, hi):
+                for m in self._places(i, text, lo, hi):
                     found.add((i, m.start(), m.end(), sum(m.fuzzy_counts)))
         return base, self._best(found)
 
+    def _places(self, i: int, text: str, lo: int, hi: int) -> Iterator[regex.Match]:
+        """Matches of a notice in a window: the best, then those before and after it, which may share its outer blanks."""
+        least = max(2, len(self.scan.notices[i][0]) + 2 - self.scan.edits(self.scan.notices[i][0]))
+        todo = [(lo, hi)]
+        while todo:
+            lo, hi = todo.pop()
+            m = self.patterns[i].search(text, lo, hi) if hi - lo >= least else None
+            if m:
+                yield m
+                todo += [(lo, min(hi - 1, m.start() + 1)), (max(lo + 1, m.end() - 1), hi)]
+
     def _best(self, found: set) -> list[tuple[int, int, int, int]]:
         """Without matches that overlap one of fewer edits: notices differ by a word only."""
         fewer: list[tuple[int, int]] = []

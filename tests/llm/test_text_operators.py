@@ -220,6 +220,18 @@ def test_bounded_errors_find_what_a_scan_of_all_windows_finds():
         assert bool(finder.find(text)[1]) == near
 
 
+def test_every_place_of_a_repeated_notice_counts():
+    finder = Finder(Scan(notices=(("licensed under the mit license", "mit"),)))
+    exact, worse = "licensed under the mit license", "licensed undr the mit license"
+    for parts in ([worse, exact], [exact, worse], [worse, exact, worse], [exact, exact], [worse, "by", exact, "or", worse]):
+        text, at, want = " ", 0, []
+        for part in parts:
+            if len(part) > 2:
+                want.append((len(text) - 1, int(part == worse)))
+            text += part + " "
+        assert [(a, edits) for _, a, _, edits in finder.find(text)[1]] == want
+
+
 PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{}</style><script>var t="</p>";</script></head><body><nav><ul><li><a>menu</a></li></ul></nav>
 <div class="ad">buy</div><div class="promo-box">x</div><article><h1>Head &amp;  line %d</h1><p><b>One<br><p>Two<i>three</i>&nbsp;four</p><aside>side</aside><form>in <input></form><p>Follow us</p>
 <table><tr><td>cell</td><td>other</td></tr></table></article><section id="comments"><p>first!</p></section><footer>&copy; f</footer>"""
