@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 from atlasweave.llm import ppm, tokens
 from atlasweave.llm.classifier import Classifier, train, with_scores
 from atlasweave.llm.decontaminate import Decontamination, align, with_leaks
-from atlasweave.llm.html import extract_pages, main_text
 from atlasweave.llm.licenses import BASE_PHRASES, Finder, Scan, with_licenses
 from atlasweave.llm.lm import Scoring, held_out_rows, score_documents
 from atlasweave.llm.urls import filter_urls
@@ -232,26 +231,6 @@ def test_every_place_of_a_repeated_notice_counts():
         assert [(a, edits) for _, a, _, edits in finder.find(text)[1]] == want
 
 
-PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{}</style><script>var t="</p>";</script></head><body><nav><ul><li><a>menu</a></li></ul></nav>
-<div class="ad">buy</div><div class="promo-box">x</div><article><h1>Head &amp;  line %d</h1><p><b>One<br><p>Two<i>three</i>&nbsp;four</p><aside>side</aside><form>in <input></form><p>Follow us</p>
-<table><tr><td>cell</td><td>other</td></tr></table></article><section id="comments"><p>first!</p></section><footer>&copy; f</footer>"""
-
-
-def test_pages(spark):
-    rows = [(i, f"http://h.example/{i}", PAGE % i) for i in range(8)] + [(80 + i, "http://copies.example/", PAGE % 7) for i in range(6)] + [(90, None, None), (91, "nonsense", ""), (92, "http://one.example/", "<p>just text <b>bold</b>tail<p>next&lt;b&gt; <!-- no --> end <span cl"), (None, "http://h.example/0", PAGE % 0)]
-    pages = spark.createDataFrame([(*r, "t", 1) for r in rows], "page_id long, url string, html string, text string, host int")
-    got = {r.page_id: r for r in extract_pages(pages).collect()}
-    assert len(got) == len(rows)
-    assert got[3].text == "Head & line 3"  # what every page of the host has at one place is the template's
-    assert got[80].text == "Head & line 7 One Twothree four Follow us cell other"  # a host of copies keeps its text
-    assert got[90].text == got[91].text == "" and got[92].text == "just text boldtail next<b> end"
-    assert all(r.n_chars == len(r.text) for r in got.values())
-    assert extract_pages(pages.where("false")).count() == 0
-    layout = '<body><div class="with-sidebar"><div class="sidebar">no</div><article><p>yes</p></article><div class="comments"><article>no</article></div></div>'
-    assert main_text("", layout, frozenset(), frozenset()) == "yes"
-    assert main_text("", PAGE % 1, frozenset(), frozenset()) == "Head & line 1 One Twothree four Follow us cell other"
-
-
 def test_urls(spark):
     captures = [(1, "http://a.b.Example.com/x/y?z", "2024-03-01 10:00:00"), (2, "http://a.b.example.com/x/y", "2024-05-01 00:00:00"), (3, None, "2024-05-01 00:00:00"), (4, "http://example.com", None), (5, "http://example.com/q", "2024-07-01 00:00:00"), (5, "http://example.com/q", "2024-07-01 00:00:00"), (6, "no url", "2024-07-01 00:00:00")]
     entries = [("l", "example.com", "add", "spam", "2024-02-01"), ("l", "example.com", "remove", None, "2024-04-01"), ("l", "example.com", "add", "adult", "2024-06-01"), ("l", "example.com", "add", "adult", "2024-06-01"), ("m", "a.b.example.com/x", "add", "bad", "2024-01-01"), ("m", None, "add", "bad", "2024-01-01"), ("m", "b.example.com", "add", "bad", None), ("n", "example.com", "add", "x", "2024-02-01"), ("n", "example.com", "remove", "x", "2024-02-01")]
