@@ -62,6 +62,8 @@ def _one(name: Column, text: Column, strict: bool) -> Column:
     )
     if strict:
         out = out.when(name == "skewX", matrix(1.0, 0.0, F.tan(turn), 1.0, 0.0, 0.0)).when(name == "skewY", matrix(1.0, F.tan(turn), 0.0, 1.0, 0.0, 0.0))
+        unreadable = F.concat(F.lit("transform with no number: "), name, F.lit("("), text, F.lit(")"))
+        return F.when(F.exists(n, lambda x: x.isNull()), F.raise_error(unreadable)).otherwise(F.when(good, out))
     return F.when(good, out)
 
 
@@ -69,7 +71,8 @@ def parse_transform(text: Column, strict: bool = False) -> Column:
     """Matrix of a transform attribute; calls that aren't understood count as none.
 
     ``strict`` is the form for tile frames: skews are known, ``matrix`` needs exactly
-    six numbers, and no blank may stand before a bracket.
+    six numbers, no blank may stand before a bracket, and an argument that isn't a
+    number is an error.
     """
     form = r"([A-Za-z]+)\(([^)]*)\)" if strict else r"([A-Za-z]+)\s*\(([^)]*)\)"
     text = F.coalesce(text, F.lit(""))

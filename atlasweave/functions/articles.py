@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# Patterns of what isn't read as an article's text.
 REMOVED = (
     r"(?is)<(script|style)\b[^>]*>.*?</\1\s*>",
     r"(?is)<aside\b[^>]*>.*?</aside\s*>",

@@ -73,6 +73,12 @@ def bezier(p0: Column, p1: Column, p2: Column, p3: Column, samples: int = 20) ->
     return F.transform(F.sequence(F.lit(0), F.lit(samples - 1)), at)
 
 
+def coordinate_text(lon: Column, lat: Column, resolution: Column | None = None) -> Column:
+    """A place as the viewer shows it, with its resolution times 100 if there is one."""
+    place = F.format_string("X=%.3f, Y=%.3f", lon, lat)
+    return place if resolution is None else F.concat(place, F.format_string(", Z=%.3f", resolution * 100))
+
+
 def polyline_length(points: Column) -> Column:
     """Sum of the lengths between consecutive points (structs of x and y)."""
     ends = F.zip_with(F.slice(points, 1, F.greatest(F.size(points) - 1, F.lit(0))), F.slice(points, 2, F.greatest(F.size(points) - 1, F.lit(0))), lambda a, b: distance(a["x"], a["y"], b["x"], b["y"]))

@@ -68,12 +68,12 @@ def drawn_points(d: str, samples: int = 20) -> list[tuple[float, float]]:
     return [(float(p.real), float(p.imag)) for p in out]
 
 
-def path_points(d: Column) -> Column:
+def path_points(d: Column, samples: int = 20) -> Column:
     """Points of path data as an array of structs of x and y."""
 
     @F.pandas_udf("array<struct<x:double,y:double>>")
     def points(texts: pd.Series) -> pd.Series:
-        return texts.map(lambda s: [{"x": x, "y": y} for x, y in drawn_points(s or "")])
+        return texts.map(lambda s: [{"x": x, "y": y} for x, y in drawn_points(s or "", samples)])
 
     return points(d)
 

@@ -18,11 +18,16 @@ def type_counts(rows: DataFrame, kind: str, none: str = "(No type assigned)") ->
     return rows.groupBy(F.coalesce(F.nullif(F.col(kind), F.lit("")), F.lit(none)).alias("type")).agg(F.count("*").alias("n"))
 
 
+def road_totals(roads: DataFrame) -> DataFrame:
+    """Roads by type and the points that they are drawn with."""
+    return roads.groupBy("road_type").agg(F.count("*").alias("roads"), F.sum(F.size("points")).cast("long").alias("points"))
+
+
 def top_components(rows: DataFrame, path: str, separator: str = "/") -> DataFrame:
     return rows.groupBy(F.get(F.split(path, separator), F.lit(0)).alias("component")).agg(F.count("*").alias("n"))
 
 
-def processing_report(settlements: DataFrame, points: DataFrame, regions: DataFrame, water: DataFrame, unmatched: DataFrame) -> DataFrame:
+def processing_report(settlements: DataFrame, points: DataFrame, regions: DataFrame, water: DataFrame, unmatched: DataFrame, roads: DataFrame | None = None) -> DataFrame:
     """``section``, ``key``, ``metric``, ``value`` of all that a run has counted."""
 
     def rows(df: DataFrame, section: str, key: str, metric: str, value: str) -> DataFrame:
@@ -44,6 +49,9 @@ def processing_report(settlements: DataFrame, points: DataFrame, regions: DataFr
         (unmatched.groupBy("status").agg(F.count("*").alias("n")), "reconciliation", "status", "count", "n"),
     ):
         out = out.unionByName(rows(df, section, key, metric, value))
+    if roads is not None:
+        by_type = road_totals(roads)
+        out = out.unionByName(rows(by_type, "roads", "road_type", "count", "roads")).unionByName(rows(by_type, "roads", "road_type", "points", "points"))
     return out
 
 

@@ -23,9 +23,9 @@ def line_feature(points: Column, properties: list[Column]) -> Column:
     return F.to_json(feature, {"ignoreNullFields": "false"})
 
 
-def settlement_features(rows: DataFrame) -> DataFrame:
+def settlement_features(rows: DataFrame, *kept: str) -> DataFrame:
     place = F.array("px", "py").alias("inkscape_coordinates")
-    return rows.select("faction", "doc_order", point_feature(F.col("lon"), F.col("lat"), [*map(F.col, ("name", "province", "population", "tags", "notes", "size_category")), place, F.col("wiki")]).alias("feature"))
+    return rows.select(*kept, "faction", "doc_order", point_feature(F.col("lon"), F.col("lat"), [*map(F.col, ("name", "province", "population", "tags", "notes", "size_category")), place, F.col("wiki")]).alias("feature"))
 
 
 def typed_features(rows: DataFrame, kind: str, *more: str) -> DataFrame:
@@ -34,6 +34,24 @@ def typed_features(rows: DataFrame, kind: str, *more: str) -> DataFrame:
     return rows.select("doc_order", point_feature(F.col("lon"), F.col("lat"), [F.col("name"), F.col(kind), *map(F.col, more), place]).alias("feature"))
 
 
+# Layers of the viewer whose features also stand in a layer of markers alone.
+MARKED_LAYERS = {"settlements": "settlement_markers", "dwarf_settlements": "dwarf_settlement_markers"}
+
+
+def viewer_layers(layers: dict[str, DataFrame]) -> DataFrame:
+    """``layer``, ``name``, ``lon``, ``lat``, ``feature`` of point features by layer, those of marked layers in both."""
+    form = "geometry struct<coordinates:array<double>>, properties struct<name:string>"
+    out = None
+    for layer, features in layers.items():
+        names = F.array(*[F.lit(n) for n in (layer, MARKED_LAYERS.get(layer)) if n])
+        read = features.select(F.explode(names).alias("layer"), F.from_json("feature", form).alias("f"), "feature")
+        read = read.select("layer", "f.properties.name", F.get("f.geometry.coordinates", F.lit(0)).alias("lon"), F.get("f.geometry.coordinates", F.lit(1)).alias("lat"), "feature")
+        out = read if out is None else out.unionByName(read)
+    if out is None:
+        raise ValueError("no layers")
+    return out
+
+
 def write_features(features: DataFrame, path: str, order: str = "doc_order") -> None:
     """One GeoJSON feature a line, in parts ordered over the whole."""
     features.orderBy(order).select("feature").write.mode("overwrite").text(path)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import csv
+import io
 import shutil
 from datetime import datetime
 from pathlib import Path
@@ -69,6 +71,45 @@ def deploy(sources: dict[str, Path], target: Path, names: list[str] | None = Non
     return done
 
 
+def sync(landing: Path, target: Path, sheets: dict[str, str], dry_run: bool = False, validate: bool = False) -> dict[str, str]:
+    """Take landed sheets (``<name>.csv``, flavours by name) over into ``target``; what was done with each.
+
+    Headers and rows are checked until all sheets have passed once, and whenever
+    ``validate`` says so.  A sheet is backed up with a time stamp and then replaced in
+    one move; one that is missing, unreadable or fails its checks leaves its target.
+    """
+    from ..sources.gazetteers import header_errors
+
+    first = not (target / ".validated").exists()
+    done, errors = {}, {}
+    for name, flavour in sheets.items():
+        try:
+            with open(landing / f"{name}.csv", encoding="utf-8", newline="") as file:
+                text = file.read()
+            rows = list(csv.reader(io.StringIO(text)))
+        except (OSError, UnicodeDecodeError, csv.Error) as e:
+            done[name], errors[name] = "not read", [str(e)]
+            continue
+        errors[name] = header_errors(rows[0] if rows else [], flavour, len(rows) - 1) if first or validate else []
+        if errors[name]:
+            done[name] = "invalid: " + "; ".join(errors[name])
+        elif dry_run:
+            done[name] = "would sync"
+        else:
+            target.mkdir(parents=True, exist_ok=True)
+            to = target / f"{name}.csv"
+            if to.exists():
+                (target / "backups").mkdir(exist_ok=True)
+                shutil.copy2(to, target / "backups" / f"{name}_{datetime.now():%Y%m%d_%H%M%S}.csv")
+            part = target / f".{name}.part"
+            part.write_text(text.replace("\r\n", "\n").replace("\r", "\n"), encoding="utf-8", newline="")
+            part.replace(to)
+            done[name] = "synced"
+    if first and not dry_run:
+        mark_validated(target, errors)
+    return done
+
+
 def mark_validated(folder: Path, results: dict[str, list[str]]) -> bool:
     """Leave a marker only when every dataset passed its checks."""
     passed = bool(results) and not any(results.values())

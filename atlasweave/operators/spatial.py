@@ -14,8 +14,8 @@ def _cell(c: str, size: float) -> Column:
     return F.floor(F.col(c) / F.lit(size)).cast("long")
 
 
-def distance_join(a: DataFrame, b: DataFrame, within: float, ax: str = "ax", ay: str = "ay", bx: str = "bx", by: str = "by") -> DataFrame:
-    """Pairs nearer than ``within``, with ``dist``.
+def distance_join(a: DataFrame, b: DataFrame, within: float, ax: str = "ax", ay: str = "ay", bx: str = "bx", by: str = "by", on: tuple[str, ...] = ()) -> DataFrame:
+    """Pairs nearer than ``within``, with ``dist``; of equal ``on`` columns only.
 
     Cells of that size: a's row meets the nine cells around its own by an equality
     join, so no pair of far rows is ever made.
@@ -23,15 +23,20 @@ def distance_join(a: DataFrame, b: DataFrame, within: float, ax: str = "ax", ay:
     near = F.explode(F.flatten(F.transform(F.sequence(F.lit(-1), F.lit(1)), lambda i: F.transform(F.sequence(F.lit(-1), F.lit(1)), lambda j: F.struct((_cell(ax, within) + i).alias("i"), (_cell(ay, within) + j).alias("j"))))))
     left = a.withColumn("_c", near).withColumn("_i", F.col("_c.i")).withColumn("_j", F.col("_c.j")).drop("_c")
     right = b.withColumn("_i", _cell(bx, within)).withColumn("_j", _cell(by, within))
-    met = left.join(right, ["_i", "_j"]).withColumn("dist", distance(F.col(ax), F.col(ay), F.col(bx), F.col(by)))
+    met = left.join(right, ["_i", "_j", *on]).withColumn("dist", distance(F.col(ax), F.col(ay), F.col(bx), F.col(by)))
     return met.where(F.col("dist") < within).drop("_i", "_j")
 
 
-def nearest(a: DataFrame, b: DataFrame, a_id: str, within: float, carried: list[str], tie: list[str], **columns: str) -> DataFrame:
+def nearest(a: DataFrame, b: DataFrame, a_id: str, within: float, carried: list[str], tie: list[str], on: tuple[str, ...] = (), **columns: str) -> DataFrame:
     """For each row of ``a`` the nearest row of ``b`` nearer than ``within``; ties by ``tie``."""
-    met = distance_join(a, b, within, **columns)
+    met = distance_join(a, b, within, on=on, **columns)
     best = F.min(F.struct("dist", *tie, *[c for c in carried if c not in tie])).alias("_b")
-    return met.groupBy(a_id).agg(best).select(a_id, "_b.*")
+    return met.groupBy(*on, a_id).agg(best).select(*on, a_id, "_b.*")
+
+
+def bounds(points: DataFrame, *group: str) -> DataFrame:
+    """Box of each group's points (x, y)."""
+    return points.groupBy(*group).agg(F.min("x").alias("x0"), F.min("y").alias("y0"), F.max("x").alias("x1"), F.max("y").alias("y1"))
 
 
 def thin(points: DataFrame, group: list[str], separation: float, order: list[str]) -> DataFrame:

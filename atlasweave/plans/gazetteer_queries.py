@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import articles, names, tags, values
 from ..operators import dedupe, reconcile, reports, snapshots
+from ..sources import drawings, gazetteers
 from .registry import Tables, query
 
 SIZE_SQL = "CAST(CASE WHEN {0} IS NULL THEN NULL WHEN {0} <= 300 THEN 1 WHEN {0} <= 900 THEN 2 WHEN {0} <= 3000 THEN 3 WHEN {0} <= 15000 THEN 4 WHEN {0} <= 49999 THEN 5 ELSE 6 END AS INTEGER)"
@@ -91,8 +92,11 @@ def tag_add(t: Tables) -> DataFrame:
 
 @query("enrich_left_default", "SELECT o_orderkey, coalesce(c_name, '') AS name, coalesce(c_mktsegment, 'none') AS segment FROM orders LEFT JOIN (SELECT * FROM customer WHERE c_nationkey < 12) c ON c_custkey = o_custkey")
 def enrich_left_default(t: Tables) -> DataFrame:
-    known = t.customer.where("c_nationkey < 12").select(F.col("c_custkey").alias("o_custkey"), "c_name", "c_mktsegment")
-    return t.orders.select("o_orderkey", "o_custkey").join(known, "o_custkey", "left").select("o_orderkey", F.coalesce("c_name", F.lit("")).alias("name"), F.coalesce("c_mktsegment", F.lit("none")).alias("segment"))
+    """Orders as typed places, their customers as a gazetteer that lacks some."""
+    none = F.lit("")
+    known = t.customer.where("c_nationkey < 12").select(F.lit("f").alias("faction"), F.col("c_custkey").cast("string").alias("name"), F.col("c_mktsegment").alias("Type"), *[none.alias(c) for c in ("Tags", "Trade", "wiki_title", "wiki_url", "wiki_description", "wiki_image")], F.col("c_name").alias("Notes"))
+    rich = reconcile.enrich_typed(t.orders.select("o_orderkey", F.lit("f").alias("faction"), F.col("o_custkey").cast("string").alias("name")), known)
+    return rich.select("o_orderkey", F.coalesce(F.get("notes", F.lit(0)), none).alias("name"), F.when(F.col("in_gazetteer"), F.col("hold_type")).otherwise("none").alias("segment"))
 
 
 @query("csv_not_in_map", "SELECT DISTINCT doc_id FROM documents d WHERE NOT EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id)")
@@ -162,7 +166,7 @@ def _customers(t: Tables) -> DataFrame:
 
 @query("totals_by_group", f"SELECT n_name, count(*) AS n, CAST(sum(p) AS BIGINT) AS total FROM ({_CUSTOMERS_SQL}) GROUP BY n_name")
 def totals_by_group(t: Tables) -> DataFrame:
-    return _customers(t).groupBy("n_name").agg(F.count("*").alias("n"), F.sum("p").alias("total"))
+    return reports.totals(_customers(t), "n_name", "p").where("n_name is not null")
 
 
 @query("grand_total", f"SELECT n_name, count(*) AS n, CAST(sum(p) AS BIGINT) AS total FROM ({_CUSTOMERS_SQL}) GROUP BY ROLLUP (n_name)")
@@ -190,12 +194,12 @@ def multi_issue_counts(t: Tables) -> DataFrame:
     return t.orders.agg(F.count_if(F.col("o_totalprice") < 5000).alias("low_price"), F.count_if(F.col("o_orderstatus") == "F").alias("finished"), F.count_if(F.col("o_orderpriority").startswith("1")).alias("urgent"))
 
 
-_WORDS = lambda t, where="lang = 'de'": t.documents.where(where).select(F.explode(F.split("text", r"[^\p{L}]+")).alias("w")).where("w <> ''").distinct()
+_WORDS = lambda t, where="true": t.documents.where(where).select(F.explode(F.split("text", r"[^\p{L}]+")).alias("w")).where("w <> ''").distinct()
 _WORDS_SQL = r"SELECT DISTINCT unnest(string_split_regex(text, '[^\p{{L}}]+')) AS w FROM documents WHERE {0}"
 _VARIANTS_SQL = "list_distinct([s, strip_accents(s), replace(s,'ö','o'), replace(s,'ö','oe'), replace(s,'ä','a'), replace(s,'ä','ae'), replace(s,'ü','u'), replace(s,'ü','ue'), replace(s,'ß','ss')])"
 
 
-@query("name_variants", f"SELECT w, array_to_string(list_sort({_VARIANTS_SQL}), '|') AS variants FROM (SELECT w, lower(trim(w)) AS s FROM ({_WORDS_SQL.format("lang = 'de'")}) WHERE w <> '')")
+@query("name_variants", f"SELECT w, array_to_string(list_sort({_VARIANTS_SQL}), '|') AS variants FROM (SELECT w, lower(trim(w)) AS s FROM ({_WORDS_SQL.format("true")}) WHERE w <> '')")
 def name_variants(t: Tables) -> DataFrame:
     return _WORDS(t).select("w", F.array_join(F.array_sort(names.comparison_variants(F.col("w"))), "|").alias("variants"))
 
@@ -213,14 +217,14 @@ def bracket_variants(t: Tables) -> DataFrame:
 
 @query(
     "variant_match",
-    f"""WITH w AS (SELECT DISTINCT lower(w) AS w FROM ({_WORDS_SQL.format("lang IN ('de', 'fr')")}) WHERE w <> ''),
-    p AS (SELECT w, w AS s, {_VARIANTS_SQL.replace("s,", "w,").replace("[s", "[w").replace("accents(s)", "accents(w)")} AS vs FROM w WHERE w <> strip_accents(w)),
+    f"""WITH w AS (SELECT DISTINCT lower(w) AS w FROM ({_WORDS_SQL.format("true")}) WHERE w <> ''),
+    p AS (SELECT w, w AS s, {_VARIANTS_SQL[len("list_distinct(") : -1].replace("s,", "w,").replace("[s", "[w").replace("accents(s)", "accents(w)")} AS vs FROM w WHERE w <> strip_accents(w)),
     pv AS (SELECT w, unnest(range(1, len(vs) + 1)) AS r, unnest(vs) AS v FROM p),
     b AS (SELECT w AS plain FROM w WHERE w = strip_accents(w) AND w NOT LIKE '%ß%')
     SELECT w AS word, arg_min(plain, r) AS matched FROM pv JOIN b ON v = plain GROUP BY w""",
 )
 def variant_match(t: Tables) -> DataFrame:
-    words = _WORDS(t, "lang in ('de', 'fr')").select(F.lower("w").alias("w")).distinct()
+    words = _WORDS(t).select(F.lower("w").alias("w")).distinct()
     plain = names.strip_marks(F.col("w")) == F.col("w")
     probe, build = words.where(~plain).select(F.col("w").alias("word")), words.where(plain & ~F.col("w").contains("ß")).select(F.col("w").alias("matched"))
     return reconcile.match_variants(probe, build.withColumn("plain", F.col("matched")), "word", "plain", "word", "matched")
@@ -233,7 +237,9 @@ def variant_match(t: Tables) -> DataFrame:
 )
 def merge_fill_empty(t: Tables) -> DataFrame:
     mine = t.customer.select("c_custkey", F.when(F.pmod("c_custkey", F.lit(2)) == 0, F.col("c_mktsegment")).otherwise("  ").alias("a"))
-    return mine.join(t.supplier.select(F.col("s_suppkey").alias("c_custkey"), "s_name"), "c_custkey", "left").select("c_custkey", names.fill_empty(F.col("a"), F.col("s_name")).alias("notes"))
+    own = mine.select(F.col("c_custkey").cast("string").alias("Settlement"), F.lit("").alias("Tags"), F.col("a").alias("Notes"), F.col("c_custkey").alias("_ord"))
+    other = t.supplier.select(F.col("s_suppkey").cast("string").alias("Settlement"), F.col("s_name").alias("Notes"), F.col("s_suppkey").alias("_ord"))
+    return reconcile.merge(own, other, {"Notes": "Notes"}).where("Tags = ''").select(F.col("Settlement").cast("long").alias("c_custkey"), F.col("Notes").alias("notes"))
 
 
 @query(
@@ -261,7 +267,7 @@ def needs_processing(t: Tables) -> DataFrame:
 
 @query("set_difference", "SELECT p_name FROM part WHERE p_size < 25 EXCEPT SELECT p_name FROM part WHERE p_brand = 'Brand#11'")
 def set_difference(t: Tables) -> DataFrame:
-    return t.part.where("p_size < 25").select("p_name").exceptAll(t.part.where("p_brand = 'Brand#11'").select("p_name")).distinct().join(t.part.where("p_brand = 'Brand#11'").select("p_name"), "p_name", "left_anti")
+    return reconcile.missing_from(t.part.where("p_size < 25"), t.part.where("p_brand = 'Brand#11'"), ["p_name"])
 
 
 @query("bag_union", "SELECT 'c' AS side, c_name AS name FROM customer UNION ALL SELECT 's', s_name FROM supplier")
@@ -313,15 +319,14 @@ def sentence_top3(t: Tables) -> DataFrame:
     return t.documents.select("doc_id", articles.first_sentences(F.col("text")).alias("sentences"))
 
 
-@query("citation_clean", f"SELECT doc_id, {_CLEAN_SQL.format("substr(text, 1, 40) || '[1] and [2a] ,' || lang")} AS cleaned FROM documents")
+@query("citation_clean", f"SELECT doc_id, {_CLEAN_SQL.format("text || '[1] and [2a] ,' || lang")} AS cleaned FROM documents")
 def citation_clean(t: Tables) -> DataFrame:
-    return t.documents.select("doc_id", articles.clean_citations(F.concat(F.substring("text", 1, 40), F.lit("[1] and [2a] ,"), "lang")).alias("cleaned"))
+    return t.documents.select("doc_id", articles.clean_citations(F.concat(F.col("text"), F.lit("[1] and [2a] ,"), "lang")).alias("cleaned"))
 
 
 @query("sequential_ids", "SELECT p_partkey, 'road_' || lpad((row_number() OVER (PARTITION BY p_brand ORDER BY p_partkey) - 1)::VARCHAR, 3, '0') AS road_id FROM part")
 def sequential_ids(t: Tables) -> DataFrame:
-    n = F.row_number().over(Window.partitionBy("p_brand").orderBy("p_partkey")) - 1
-    return t.part.select("p_partkey", F.format_string("road_%03d", n).alias("road_id"))
+    return t.part.select("p_partkey", drawings.numbered("road", "p_brand", "p_partkey").alias("road_id"))
 
 
 @query("progress_pct", "SELECT p_partkey, round(100.0 * row_number() OVER (PARTITION BY p_brand ORDER BY p_partkey) / count(*) OVER (PARTITION BY p_brand), 4)::DOUBLE AS pct FROM part")
@@ -352,14 +357,16 @@ def latest_snapshot(t: Tables) -> DataFrame:
 
 @query("unpivot_epochs", "SELECT s_suppkey, year, v AS province FROM (SELECT s_suppkey, s_name AS y2515, s_nationkey::VARCHAR AS y2512 FROM supplier), LATERAL (VALUES (2515, y2515), (2512, y2512)) e(year, v)")
 def unpivot_epochs(t: Tables) -> DataFrame:
-    wide = t.supplier.select("s_suppkey", F.col("s_name").alias("2515"), F.col("s_nationkey").cast("string").alias("2512"))
-    return wide.unpivot(["s_suppkey"], ["2515", "2512"], "year", "province").withColumn("year", F.col("year").cast("int"))
+    nobody = F.lit("")
+    wide = t.supplier.select(F.col("s_suppkey").alias("Settlement"), F.concat(F.lit(" "), "s_name").alias("Province_2515"), F.col("s_nationkey").cast("string").alias("Province_2512"), nobody.alias("Ruler_2515"), nobody.alias("Ruler_2512"))
+    return gazetteers.unpivot_epochs(wide, (2515, 2512)).where("ruler is null").select(F.col("Settlement").alias("s_suppkey"), "year", "province")
 
 
-@query("header_validate")
+@query("header_validate", "SELECT flavour, errors FROM (SELECT unnest(['population', 'type', 'provinces', 'wiki']) AS flavour) a, (SELECT unnest([0, 1, 2])::INTEGER AS errors) b")
 def header_validate(t: Tables) -> DataFrame:
     from ..sources.gazetteers import HEADERS, header_errors
 
+    # right; in another order; a column short and without rows
     rows = [(flavour, len(header_errors(columns, flavour, n))) for flavour in HEADERS for columns, n in ((HEADERS[flavour], 1), (HEADERS[flavour][::-1], 1), (HEADERS[flavour][1:], 0))]
     return t.spark.createDataFrame(rows, "flavour string, errors int")
 

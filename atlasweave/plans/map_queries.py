@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import affine, geo, values
@@ -57,7 +57,7 @@ def affine_compose(t: Tables) -> DataFrame:
 @query("bbox", f"SELECT c_nationkey, min(x) AS x0, min(y) AS y0, max(x) AS x1, max(y) AS y1 FROM {POINTS_SQL} GROUP BY c_nationkey")
 def bbox(t: Tables) -> DataFrame:
     p = _points(t).join(t.customer.select("c_custkey", "c_nationkey"), "c_custkey")
-    return p.groupBy("c_nationkey").agg(F.min("x").alias("x0"), F.min("y").alias("y0"), F.max("x").alias("x1"), F.max("y").alias("y1"))
+    return spatial.bounds(p, "c_nationkey")
 
 
 @query(
@@ -74,9 +74,9 @@ def bezier_sample(t: Tables) -> DataFrame:
 
 @query("polyline_length", "SELECT user_id, round(coalesce(sum(sqrt((v - pv) ** 2 + 1)), 0), 4) AS length FROM (SELECT user_id, value AS v, lag(value) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS pv FROM events) GROUP BY user_id")
 def polyline_length(t: Tables) -> DataFrame:
-    w = Window.partitionBy("user_id").orderBy("ts", "event_id")
-    steps = t.events.select("user_id", "value", F.lag("value").over(w).alias("before"))
-    return steps.groupBy("user_id").agg(F.round(F.coalesce(F.sum(geo.distance(F.col("value"), F.lit(1.0), F.col("before"), F.lit(0.0))), F.lit(0.0)), 4).alias("length"))
+    """Each user's values in order as a line whose points are 1 apart on the x axis."""
+    ordered = F.transform(F.sort_array(F.collect_list(F.struct("ts", "event_id", "value"))), lambda e, i: F.struct(i.cast("double").alias("x"), e["value"].alias("y")))
+    return t.events.groupBy("user_id").agg(ordered.alias("points")).select("user_id", F.round(geo.polyline_length(F.col("points")), 4).alias("length"))
 
 
 @query("tile_grid", "SELECT z::INTEGER AS z, x::INTEGER AS x, y::INTEGER AS y, z || '/' || x || '/' || y || '.png' AS path FROM (SELECT unnest(range(1, 7)) AS z) a, LATERAL (SELECT unnest(range(0, (2 ** z)::BIGINT)) AS x) b, LATERAL (SELECT unnest(range(0, (2 ** z)::BIGINT)) AS y) c")
@@ -157,7 +157,12 @@ def distance_join(t: Tables) -> DataFrame:
     return spatial.distance_join(a, b, 1.5).where("a < b").select("a", "b", F.round("dist", 6).alias("dist"))
 
 
-@query("nms")
+@query(
+    "nms",
+    f"""WITH RECURSIVE p AS (SELECT c_nationkey AS g, c_custkey AS k, x, y FROM {POINTS_SQL}),
+    r AS (SELECT 0 AS i, * FROM p UNION ALL SELECT i + 1, g, k, x, y FROM (SELECT *, first_value(x) OVER w AS fx, first_value(y) OVER w AS fy, first_value(k) OVER w AS fk FROM r WINDOW w AS (PARTITION BY g ORDER BY k)) WHERE k <> fk AND (x - fx) ** 2 + (y - fy) ** 2 >= 100)
+    SELECT g AS c_nationkey, min(k) AS c_custkey, arg_min(x, k) AS x, arg_min(y, k) AS y FROM r GROUP BY g, i""",
+)
 def nms(t: Tables) -> DataFrame:
     p = _points(t).join(t.customer.select("c_custkey", "c_nationkey"), "c_custkey")
     return spatial.thin(p, ["c_nationkey"], 10.0, ["c_custkey"])
@@ -165,8 +170,7 @@ def nms(t: Tables) -> DataFrame:
 
 @query("consecutive_edges", "SELECT user_id, event_id AS a, lead(event_id) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS b FROM events QUALIFY b IS NOT NULL")
 def consecutive_edges(t: Tables) -> DataFrame:
-    w = Window.partitionBy("user_id").orderBy("ts", "event_id")
-    return t.events.select("user_id", F.col("event_id").alias("a"), F.lead("event_id").over(w).alias("b")).where("b is not null")
+    return graphs.consecutive(t.events.select("user_id", "ts", F.col("event_id")), ["user_id"], ["ts", "event_id"], F.col("event_id")).select("user_id", "a", "b")
 
 
 EDGES_SQL = """(SELECT n_nationkey AS a, (n_nationkey + 1) % 25 AS b, 1.0::DOUBLE + n_nationkey % 5 AS length, (1.0::DOUBLE + n_nationkey % 5) * (2.05::DOUBLE / (1.0::DOUBLE + n_regionkey)) AS weight FROM nation
@@ -219,11 +223,29 @@ def sssp_weighted(t: Tables) -> DataFrame:
     return _from_zero(t, "weight")
 
 
+def _routes_sql(rounds: int = 10) -> str:
+    out = [f"WITH e AS (SELECT a, b, length AS c FROM {EDGES_SQL} UNION ALL SELECT b, a, length FROM {EDGES_SQL}), d0 AS (SELECT n_nationkey AS s, n_nationkey AS node, 0.0::DOUBLE AS c FROM nation)"]
+    for i in range(rounds):
+        out.append(f"d{i + 1} AS (SELECT s, node, min(c) AS c FROM (SELECT * FROM d{i} UNION ALL SELECT s, b, d{i}.c + e.c FROM d{i} JOIN e ON a = node) GROUP BY s, node)")
+    ends = "CASE WHEN n_nationkey % 5 = 0 THEN n_nationkey::VARCHAR WHEN n_nationkey % 5 = 1 THEN 'X' ELSE ((n_nationkey + 7) % 25)::VARCHAR END"
+    return ", ".join(out) + f' SELECT n_nationkey::VARCHAR AS start, {ends} AS "end", round(c, 4) AS distance, c IS NOT NULL AS "exists" FROM nation LEFT JOIN d{rounds} ON s = n_nationkey AND node::VARCHAR = {ends}'
+
+
+@query("route_table", _routes_sql())
+def route_table(t: Tables) -> DataFrame:
+    """Routes of many requests in one search, some to the start itself or to a place that isn't there."""
+    n = F.col("n_nationkey")
+    end = F.when(n % 5 == 0, n.cast("string")).when(n % 5 == 1, "X").otherwise(F.pmod(n + 7, F.lit(25)).cast("string"))
+    asked = t.nation.select(n.cast("string").alias("start"), end.alias("end"))
+    return graphs.find_paths(_edges(t), asked).select("start", "end", F.round("distance", 4).alias("distance"), "exists")
+
+
 @query("reachability", "SELECT count(*) AS reached FROM nation")
 def reachability(t: Tables) -> DataFrame:
     return _from_zero(t, "length").agg(F.count("*").alias("reached"))
 
 
+# A network whose routes are known, as pairs of nodes and lengths.
 GOLDEN = (("A", "INT2", 37.35), ("B", "INT2", 55.95), ("C", "INT1", 117.96), ("C", "E", 102.94), ("C", "EP_path3_0", 51.76), ("C", "EP_path3_1", 72.26), ("D", "INT1", 38.43), ("E", "EP_path1_1", 2.42), ("EP_path2_1", "INT2", 33.06), ("EP_path2_1", "INT3", 17.61), ("INT1", "INT3", 57.83), ("INT2", "INT3", 25.68))
 
 
@@ -239,10 +261,16 @@ def k_shortest(t: Tables) -> DataFrame:
     return graphs.k_shortest(edges, "A", "E").select(F.array_join("path", " -> ").alias("path"), F.round("length", 2).alias("length"))
 
 
-@query("geojson_features")
+@query(
+    "geojson_features",
+    f"SELECT c_custkey, 'Feature' AS type, 'Point' AS shape, round((x - 428.530) * 0.017504, 6) AS lon, round((3347.85 - y) * 0.017504, 6) AS lat, c_custkey AS key, true AS shows_null FROM {POINTS_SQL}",
+)
 def geojson_features(t: Tables) -> DataFrame:
     props = [F.col("c_custkey"), F.lit(None).cast("string").alias("wiki")]
-    return _points(t).select("c_custkey", sinks.point_feature(geo.longitude(F.col("x")), geo.latitude(F.col("y")), props).alias("feature"))
+    made = _points(t).select("c_custkey", sinks.point_feature(geo.longitude(F.col("x")), geo.latitude(F.col("y")), props).alias("feature"))
+    read = made.withColumn("f", F.from_json("feature", "type string, geometry struct<type:string,coordinates:array<double>>, properties struct<c_custkey:bigint>"))
+    at = lambda i: F.round(F.get("f.geometry.coordinates", F.lit(i)), 6)
+    return read.select("c_custkey", "f.type", F.col("f.geometry.type").alias("shape"), at(0).alias("lon"), at(1).alias("lat"), F.col("f.properties.c_custkey").alias("key"), F.col("feature").contains('"wiki":null').alias("shows_null"))
 
 
 @query("network_demo")

@@ -6,13 +6,14 @@ import xml.etree.ElementTree as ET
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import affine
 
-SCHEMA = "doc string, doc_order long, depth int, tag string, label string, id string, path array<string>, layers array<string>, transforms array<string>, name string, first_span string, x string, y string, attrs map<string,string>"
+SCHEMA = "doc string, doc_order long, depth int, tag string, label string, id string, path array<string>, labels array<string>, layers array<string>, transforms array<string>, name string, first_span string, x string, y string, attrs map<string,string>"
 LABEL = "{http://www.inkscape.org/namespaces/inkscape}label"
+NAMESPACES = (("", "http://www.w3.org/2000/svg"), ("inkscape", "http://www.inkscape.org/namespaces/inkscape"), ("sodipodi", "http://sodipodi.sourceforge.net/DTD/sodipodi-0.dtd"), ("xlink", "http://www.w3.org/1999/xlink"))
 MODE = "{http://www.inkscape.org/namespaces/inkscape}groupmode"
 
 
@@ -32,28 +33,30 @@ def _walk(doc: str, text: str) -> Iterator[tuple]:
     root = ET.fromstring(text)
     order = 0
     # depth first without recursion, so that deep drawings don't meet the interpreter's limit
-    stack: list[tuple[ET.Element, int, list[str], list[str], list[str]]] = [(root, 0, [], [], [])]
+    stack: list[tuple[ET.Element, int, list[str], list[str | None], list[str], list[str]]] = [(root, 0, [], [], [], [])]
     while stack:
-        elem, depth, path, layers, transforms = stack.pop()
+        elem, depth, path, labels, layers, transforms = stack.pop()
         tag = _local(elem.tag) if isinstance(elem.tag, str) else "comment"
         attrs = {_local(k): v for k, v in elem.attrib.items()}
         label, ident = elem.get(LABEL), elem.get("id")
         own = [*transforms, elem.get("transform") or ""]
         name, first = _name(elem) if tag == "text" else (None, None)
-        yield doc, order, depth, tag, label, ident, path, layers, own, name, first, elem.get("x"), elem.get("y"), attrs
+        yield doc, order, depth, tag, label, ident, path, labels, layers, own, name, first, elem.get("x"), elem.get("y"), attrs
         order += 1
         if tag in ("text", "comment"):
             continue
         below = path + ([label or ident] if tag == "g" and (label or ident) else [])
+        named = labels + ([label or None] if tag == "g" else [])
         layer = layers + ([label.lower()] if tag == "g" and label and elem.get(MODE) == "layer" else [])
-        stack += [(child, depth + 1, below, layer, own) for child in reversed(elem)]
+        stack += [(child, depth + 1, below, named, layer, own) for child in reversed(elem)]
 
 
 def flatten(documents: DataFrame) -> DataFrame:
     """One row per element of each drawing (``doc``, ``xml``), in document order.
 
-    ``path`` holds the labels (else ids) of the groups around it, outermost first,
-    ``layers`` those of its layers in lower case, ``transforms`` all transforms down
+    ``path`` holds the labels (else ids) of the groups around it, outermost first, for
+    messages; ``labels`` the labels alone, null for a group without one; ``layers``
+    those of its layers in lower case, ``transforms`` all transforms down
     to its own.  A drawing is one row, so drawings spread over the cluster.
     """
 
@@ -95,13 +98,18 @@ def reject_reason() -> Column:
     return F.when(F.col("tag") != "text", "Not a text element").when(F.col("name").isNull(), "No text content").when(bad("x") | bad("y"), "Invalid coordinates")
 
 
-def _under(*labels: str) -> Column:
-    test = F.lit(True)
-    for i, label in enumerate(labels):
-        test = test & (F.get("path", F.lit(i)) == label)
-    return test
+def _below(layer: str, steps: int) -> Column:
+    """Label of the group so many steps below the outermost one of that label; null if it has none."""
+    return F.get("labels", (F.array_position("labels", F.lit(layer)) - 1 + steps).cast("int"))
 
 
+def _in(layer: str) -> Column:
+    return F.array_contains("labels", layer)
+
+
+# Factions whose elements are left out without a word.
+SILENT = ("karaz_ankor", "wood_elves")
+
 # Faction, its layer, and its province where that isn't a layer of its own.
 FACTIONS = (
     ("empire", "Empire", None),
@@ -128,39 +136,41 @@ def _lookup(table: dict[str, str], key: Column) -> Column:
 def settlements(rows: DataFrame, factions: tuple = FACTIONS) -> DataFrame:
     """Elements of all factions' settlement groups in one pass, with ``faction``, ``province``, ``scope`` and ``reason``.
 
-    A province group's label is its province where the faction has provinces;
-    groups themselves aren't elements.  Rows with a reason are the rejected ones.
+    A province group's label is its province where the faction has provinces; what
+    lies in a group without label there belongs to none and is left out.  Groups
+    themselves aren't elements.  Rows with a reason are the rejected ones, of which
+    there are none for factions that reject silently.
     """
     faction, province, scope = F.lit(None).cast("string"), F.lit(None).cast("string"), F.lit(None).cast("string")
     for name, layer, constant in factions:
-        here = F.get("path", F.lit(1)) == layer
+        here = _below("Settlements", 1) == layer
         faction = F.when(here, name).otherwise(faction)
-        own = F.get("path", F.lit(2)) if layer == "Empire" else F.lit(constant)
+        own = _below("Settlements", 2) if layer == "Empire" else F.lit(constant)
         province = F.when(here, own).otherwise(province)
         scope = F.when(here, F.concat_ws("/", F.lit(name), own if layer == "Empire" else F.lit(None))).otherwise(scope)
-    out = placed(rows.where(_under("Settlements") & (F.col("tag") != "g")))
+    out = placed(rows.where(_in("Settlements") & (F.col("tag") != "g")))
     out = out.withColumn("faction", faction).withColumn("province", province).withColumn("scope", scope).where("faction is not null")
-    deep = (F.col("faction") != "empire") | (F.size("path") >= 3)
-    return out.where(deep).withColumn("reason", reject_reason())
+    out = out.where("faction <> 'empire' or province is not null").withColumn("reason", reject_reason())
+    return out.where(~(F.col("faction").isin(*SILENT) & F.col("reason").isNotNull()))
 
 
 def points_of_interest(rows: DataFrame) -> DataFrame:
-    """Named points with their type; an unknown layer is its own type."""
-    kind = F.get("path", F.lit(1))
-    named = rows.where(_under("Points of Interest") & (F.col("tag") == "text") & F.col("name").isNotNull() & kind.isNotNull())
+    """Named points with their type; an unknown layer is its own type, one without label is left out."""
+    kind = _below("Points of Interest", 1)
+    named = rows.where(_in("Points of Interest") & (F.col("tag") == "text") & F.col("name").isNotNull() & kind.isNotNull())
     return placed(named).withColumn("poi_type", F.coalesce(_lookup(POI_TYPES, kind), kind)).where("px is not null and py is not null")
 
 
 def region_labels(rows: DataFrame) -> DataFrame:
     """Region labels of the three known layers."""
-    named = rows.where(_under("Region Labels") & (F.col("tag") == "text") & F.col("name").isNotNull())
-    return placed(named).withColumn("province_type", _lookup(REGION_TYPES, F.get("path", F.lit(1)))).where("province_type is not null and px is not null and py is not null")
+    named = rows.where(_in("Region Labels") & (F.col("tag") == "text") & F.col("name").isNotNull())
+    return placed(named).withColumn("province_type", _lookup(REGION_TYPES, _below("Region Labels", 1))).where("province_type is not null and px is not null and py is not null")
 
 
 def water_labels(rows: DataFrame) -> DataFrame:
     """Water labels of the known layers; marshes lie one layer deeper."""
-    layer = F.when(F.get("path", F.lit(1)) == "marshes", F.get("path", F.lit(2))).otherwise(F.get("path", F.lit(1)))
-    named = rows.where(_under("Water Labels") & (F.col("tag") == "text") & F.col("name").isNotNull())
+    layer = F.when(_below("Water Labels", 1) == "marshes", _below("Water Labels", 2)).otherwise(_below("Water Labels", 1))
+    named = rows.where(_in("Water Labels") & (F.col("tag") == "text") & F.col("name").isNotNull())
     return placed(named).withColumn("waterbody_type", _lookup(WATER_TYPES, layer)).where("waterbody_type is not null and px is not null and py is not null")
 
 
@@ -209,7 +219,10 @@ def transform_log(rows: DataFrame) -> DataFrame:
 def transform_audit(rows: DataFrame, *under: str) -> DataFrame:
     """Labelled groups right below a layer path, with their transform or that they have none."""
     own = F.element_at("transforms", -1)
-    here = rows.where(_under(*under) & (F.size("path") == len(under)) & (F.col("tag") == "g") & F.col("label").isNotNull())
+    inside = F.lit(True)
+    for i, label in enumerate(under):
+        inside = inside & (F.get("labels", F.lit(i)) == label)
+    here = rows.where(inside & (F.size("labels") == len(under)) & (F.col("tag") == "g") & F.col("label").isNotNull())
     return here.select("doc", "label", F.when(own == "", "NO TRANSFORM").otherwise(own).alias("transform"))
 
 
@@ -218,6 +231,49 @@ def relabelled(rows: DataFrame) -> DataFrame:
     return rows.where("tag = 'text'").select("doc", "doc_order", "path", "label", "name", F.when(F.col("name").isNull(), "no_text").when(F.col("label").eqNullSafe(F.col("name")), "already").otherwise("updated").alias("status"))
 
 
+def with_labels(documents: DataFrame, layers: list[str]) -> DataFrame:
+    """Drawings whose text elements below the first group of each layer's label carry their text as label, with ``changed``: how many are new.
+
+    A drawing in which nothing changes stays as it was, byte for byte; one that
+    changes keeps its XML declaration.  Elements are reached through groups only.
+    """
+    group, svg = "{http://www.w3.org/2000/svg}g", "{http://www.w3.org/2000/svg}text"
+
+    def rewritten(text: str) -> tuple[str, int]:
+        for prefix, uri in NAMESPACES:
+            ET.register_namespace(prefix, uri)
+        root, changed = ET.fromstring(text), 0
+        for layer in layers:
+            todo = [next((g for g in root.iter(group) if g.get(LABEL) == layer), None)]
+            while todo:
+                for elem in todo.pop() or ():
+                    name = _name(elem)[0] if elem.tag == svg else None
+                    if elem.tag == group:
+                        todo.append(elem)
+                    elif name and elem.get(LABEL) != name:
+                        elem.set(LABEL, name)
+                        changed += 1
+        if not changed:
+            return text, 0
+        head = text[: text.index("?>") + 2] + "\n" if text.startswith("<?xml") else ""
+        return head + ET.tostring(root, encoding="unicode"), changed
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            got = [rewritten(x) if x else (x, 0) for x in batch["xml"]]
+            yield pd.DataFrame({"doc": batch["doc"], "xml": [x for x, _ in got], "changed": [n for _, n in got]})
+
+    return documents.select("doc", "xml").mapInPandas(run, "doc string, xml string, changed int")
+
+
+def hidden_element(rows: DataFrame, name: str = "Frame (Old World)") -> DataFrame:
+    """The first element of each drawing with that label or id, and its style with display none."""
+    from ..functions.values import with_display
+
+    first = rows.where((F.col("label") == name) | (F.col("id") == name)).groupBy("doc").agg(F.min_by(F.struct("doc_order", "attrs"), "doc_order").alias("r"))
+    return first.select("doc", "r.doc_order", with_display(F.col("r.attrs")["style"], "none").alias("style"))
+
+
 def layer_visibility(rows: DataFrame, shown: list[str]) -> DataFrame:
     """Top-level layers with the style that shows those of ``shown`` and hides the rest."""
     from ..functions.values import with_display
@@ -227,15 +283,17 @@ def layer_visibility(rows: DataFrame, shown: list[str]) -> DataFrame:
     return top.select("doc", "doc_order", "label", F.when(F.col("label").isin(shown), with_display(style, "inline")).otherwise(with_display(style, "none")).alias("style"))
 
 
+def numbered(kind: str, group: str, order: str) -> Column:
+    """Ids of a kind from 0 in each group's order."""
+    return F.format_string(f"{kind}_%03d", F.row_number().over(Window.partitionBy(group).orderBy(order)) - 1)
+
+
 def roads(rows: DataFrame, samples: int = 20) -> DataFrame:
     """Paths below the Roads layer as georeferenced points, numbered from 0 by kind; no transforms apply."""
-    from pyspark.sql import Window
-
     from ..functions import geo
     from ..functions.paths import path_points
 
-    kind = F.get("path", F.lit(1))
-    found = rows.where(_under("Roads") & (F.col("tag") == "path") & kind.isNotNull())
-    points = F.transform(path_points(F.col("attrs")["d"]), lambda p: F.struct(geo.longitude(p["x"]).alias("x"), geo.latitude(p["y"]).alias("y")))
-    number = F.row_number().over(Window.partitionBy("doc").orderBy("doc_order")) - 1
-    return found.withColumn("road_id", F.format_string("road_%03d", number)).select("doc", "doc_order", "road_id", kind.alias("road_type"), F.col("attrs")["d"].alias("svg_path"), points.alias("points"))
+    kind = _below("Roads", 1)
+    found = rows.where(_in("Roads") & (F.col("tag") == "path") & kind.isNotNull())
+    points = F.transform(path_points(F.col("attrs")["d"], samples), lambda p: F.struct(geo.longitude(p["x"]).alias("x"), geo.latitude(p["y"]).alias("y")))
+    return found.withColumn("road_id", numbered("road", "doc", "doc_order")).select("doc", "doc_order", "road_id", kind.alias("road_type"), F.col("attrs")["d"].alias("svg_path"), points.alias("points"))
