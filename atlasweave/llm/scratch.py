@@ -16,13 +16,22 @@ def shared_dir(spark: SparkSession) -> str:
     """The cluster's shared folder; a temporary one only where none is set (tests)."""
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
-        if not spark.sparkContext.master.startswith("local"):
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         path = tempfile.mkdtemp(prefix="atlasweave-")
         spark.conf.set("spark.checkpoint.dir", path)
     return path.rstrip("/")
 
 
+def free_name(name: str, columns: list[str]) -> str:
+    """``name``, with as many underscores before it as no column has it, letters of either case."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
+
+
 class Scratch:
     """Intermediate tables of one operator call."""
 

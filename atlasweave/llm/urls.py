@@ -5,26 +5,32 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .scratch import Scratch
+from .scratch import Scratch, free_name
 
-HOST = r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)"
+HOST = r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?(\[[^\]/?#]*\]|[^/?#:]+)"
 PATH = r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]+/([^?#]*)"
-SEGMENTS = 2  # of a path that keys are made from
+ADDRESS = r"^(\[.*|[0-9]+(\.[0-9]+){3})$"  # hosts that have no parent domains
 
 
 def url_host(url: Column) -> Column:
-    """Lower-case host; '' where the url has none or is null."""
-    return F.coalesce(F.lower(F.regexp_extract(url, HOST, 1)), F.lit(""))
+    """Lower-case host without dots at its end; '' where the url has none or is null."""
+    return F.coalesce(F.regexp_replace(F.lower(F.regexp_extract(url, HOST, 1)), r"\.+$", ""), F.lit(""))
 
 
-def url_keys(url: Column) -> Column:
-    """What list entries may name: the host, its parent domains of two labels or more, and host and first path segments."""
+def url_keys(url: Column, depths: list[int] | None = None) -> Column:
+    """What list entries may name: the host, its parent domains of two labels or more, and host and first path segments.
+
+    Path keys are made of every number of segments, or of those in ``depths`` only.
+    A numeric address has no parent domains.
+    """
     host = url_host(url)
     labels = F.split(host, r"\.")
-    domains = F.transform(F.sequence(F.lit(1), F.greatest(F.size(labels) - 1, F.lit(1))), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
+    last = F.when(host.rlike(ADDRESS), 1).otherwise(F.greatest(F.size(labels) - 1, F.lit(1)))
+    domains = F.transform(F.sequence(F.lit(1), last), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
     segments = F.filter(F.split(F.coalesce(F.regexp_extract(url, PATH, 1), F.lit("")), "/"), lambda s: s != "")
-    n = F.least(F.size(segments), F.lit(SEGMENTS))
-    paths = F.transform(F.when(n > 0, F.sequence(F.lit(1), n)).otherwise(F.array().cast("array<int>")), lambda i: F.concat(host, F.lit("/"), F.array_join(F.slice(segments, 1, i), "/")))
+    n, none = F.size(segments), F.array().cast("array<int>")
+    wanted = F.when(n > 0, F.sequence(F.lit(1), n)).otherwise(none) if depths is None else F.filter(F.array(*[F.lit(d) for d in depths]) if depths else none, lambda d: d <= n)
+    paths = F.transform(wanted, lambda i: F.concat(host, F.lit("/"), F.array_join(F.slice(segments, 1, i), "/")))
     return F.when(host == "", F.array().cast("array<string>")).otherwise(F.array_distinct(F.concat(domains, paths)))
 
 
@@ -34,7 +40,9 @@ def validity(entries: DataFrame) -> DataFrame:
     An entry holds from its day until the list's next entry for the key; of entries
     of one day the last by action and category decides, so a removal wins.
     """
-    days = entries.where("key is not null and dated is not null").select("list", F.lower("key").alias("key"), "action", "category", F.col("dated").cast("date").alias("start")).distinct()
+    name = F.substring_index("key", "/", 1)
+    named = F.concat(F.lower(name), F.regexp_replace(F.substr("key", F.char_length(name) + 1), "/+$", ""))  # hosts have no case, paths have
+    days = entries.where("key is not null and dated is not null").select("list", named.alias("key"), "action", "category", F.col("dated").cast("date").alias("start")).distinct()
     last = days.groupBy("list", "key", "start").agg(F.max(F.struct("action", "category")).alias("e"))
     until = F.lead("start").over(Window.partitionBy("list", "key").orderBy("start"))
     return last.withColumn("until", until).where("e.action = 'add'").select("key", F.col("e.category").alias("category"), "start", "until")
@@ -49,29 +57,33 @@ def filter_urls(captures: DataFrame, entries: DataFrame, url_col: str = "url", f
     captures brings at most one row a day to that join.
 
     A null or hostless url and a null fetch time match nothing.  Entries without key
-    or date are left out, repeated ones count once.  Repeated captures get equal
-    results; other columns pass through, one named ``_url`` is replaced.
+    or date are left out, repeated ones count once; a path's slashes at its end don't
+    count.  Repeated captures get equal results; other columns pass through, whatever
+    their names, one named ``_url`` is replaced.
     """
     scratch = Scratch(captures.sparkSession, "urls")
-    rows = captures.drop("_url").withColumn("_uid", F.monotonically_increasing_id())
-    rows = scratch.write(rows, "captures")
-    keyed = rows.select("_uid", F.col(fetched_col).cast("date").alias("day"), F.explode(url_keys(F.col(url_col))).alias("key"))
+    captures = captures.drop("_url")
+    uid, hit = free_name("uid", captures.columns), free_name("hit", captures.columns)
+    rows = scratch.write(captures.withColumn(uid, F.monotonically_increasing_id()), "captures")
     spans = scratch.write(validity(entries), "validity")
-    listed = keyed.join(spans.select("key").distinct(), "key", "left_semi")
+    depth = F.size(F.split("key", "/")) - 1
+    depths = sorted(r.d for r in spans.select(depth.alias("d")).where("d > 0").distinct().collect())  # no more than a path has segments
+    keyed = rows.select(F.col(uid).alias("uid"), F.col(fetched_col).cast("date").alias("day"), F.explode(url_keys(F.col(url_col), depths)).alias("key"))
+    listed = scratch.write(keyed.join(spans.select("key").distinct(), "key", "left_semi"), "listed")
     met = listed.select("key", "day").distinct().join(spans, "key").where("start <= day and (until is null or day < until)")
     active = met.groupBy("key", "day").agg(F.count("*").alias("n"), F.max(F.struct("start", "category")).alias("e"))
     best = F.min(F.struct((-F.char_length("key")).alias("short"), "key", "e")).alias("best")
-    found = listed.join(active, ["key", "day"]).groupBy("_uid").agg(F.sum("n").alias("n"), best)
-    out = rows.join(found, "_uid", "left")
+    found = listed.join(active, ["key", "day"]).groupBy("uid").agg(F.sum("n").alias("n"), best)
+    out = rows.join(found.select(F.col("uid").alias(uid), F.struct("n", "best").alias(hit)), uid, "left")
     url = F.struct(
         url_host(F.col(url_col)).alias("host"),
-        F.col("best").isNotNull().alias("blocked"),
-        F.coalesce("n", F.lit(0)).cast("long").alias("n_active"),
-        F.col("best.key").alias("key"),
-        F.col("best.e.category").alias("category"),
-        F.col("best.e.start").alias("listed_on"),
+        F.col(hit).isNotNull().alias("blocked"),
+        F.coalesce(F.col(f"{hit}.n"), F.lit(0)).cast("long").alias("n_active"),
+        F.col(f"{hit}.best.key").alias("key"),
+        F.col(f"{hit}.best.e.category").alias("category"),
+        F.col(f"{hit}.best.e.start").alias("listed_on"),
     )
-    return out.withColumn("_url", url).drop("_uid", "n", "best")
+    return out.select(*captures.columns, url.alias("_url"))
 
 
 def _digit(text: Column, at: int) -> Column:
@@ -103,11 +115,11 @@ def op2_url_filters(spark, sf_dir: str) -> DataFrame:
 
 OP2_SQL = r"""
 WITH u AS (SELECT page_id, url, CAST(DATE '2024-01-01' + CAST((page_id * 7) % 366 AS INTEGER) AS DATE) AS day,
-                  lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)', 1)) AS host,
+                  regexp_replace(lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?(\[[^\]/?#]*\]|[^/?#:]+)', 1)), '\.+$', '') AS host,
                   list_filter(string_split(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]+/([^?#]*)', 1), '/'), lambda s: s <> '') AS seg FROM pages),
 k AS (SELECT page_id, day, unnest(list_distinct(list_concat(
-        list_transform(range(1, greatest(len(string_split(host, '.')), 2)), lambda i: array_to_string(string_split(host, '.')[i:], '.')),
-        list_transform(range(1, least(len(seg), 2) + 1), lambda i: host || '/' || array_to_string(seg[1:i], '/'))))) AS key FROM u WHERE host <> ''),
+        list_transform(range(1, CASE WHEN regexp_matches(host, '^(\[.*|[0-9]+(\.[0-9]+){3})$') THEN 2 ELSE greatest(len(string_split(host, '.')), 2) END), lambda i: array_to_string(string_split(host, '.')[i:], '.')),
+        list_transform(range(1, len(seg) + 1), lambda i: host || '/' || array_to_string(seg[1:i], '/'))))) AS key FROM u WHERE host <> ''),
 h AS (SELECT key, md5(key) AS m FROM (SELECT DISTINCT key FROM k)),
 x AS (SELECT key, strpos('0123456789abcdef', substr(m, 1, 1)) - 1 AS d1, strpos('0123456789abcdef', substr(m, 2, 1)) - 1 AS d2,
              strpos('0123456789abcdef', substr(m, 3, 1)) - 1 AS d3, strpos('0123456789abcdef', substr(m, 4, 1)) - 1 AS d4 FROM h),
