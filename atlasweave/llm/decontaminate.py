@@ -16,11 +16,13 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import tokens
+from .scratch import Scratch, free_name
 
 U64 = np.uint64
 HITS = 1 << 20  # of seeds in rows, times the seed's places in items, that are joined at once
@@ -193,8 +195,11 @@ def _padded(values: np.ndarray, start: np.ndarray, length: np.ndarray, width: in
     return np.where(inside, values[np.where(inside, start[:, None] + at, 0)], U64(pad))
 
 
-def _judge(items: Items, p: Decontamination, at: int, names: list[str]):
+def _judge(block: Broadcast, p: Decontamination, at: int, out: str):
+    """Adds the verdict of one block of items, under ``out``, to batches whose column ``at`` is the text."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        items: Items = block.value
         for batch in batches:
             raw, offsets = tokens.text_buffer(batch.column(at))
             n = batch.num_rows
@@ -215,45 +220,56 @@ def _judge(items: Items, p: Decontamination, at: int, names: list[str]):
             hit = score >= p.threshold
             ids = pa.array(np.where(hit, items.ids[best], 0) if len(items.ids) else np.zeros(n, np.int64), mask=~hit)
             leak = pa.StructArray.from_arrays([pa.array(hit), ids, pa.array(np.minimum(score, 1.0)), pa.array(many)], names=["contaminated", "item_id", "score", "n_items"])
-            yield pa.record_batch([*[batch.column(k) for k in range(batch.num_columns)], leak], names=[*names, "_leak"])
+            yield pa.record_batch([*batch.columns, leak], names=[*batch.schema.names, out])
 
     return run
 
 
-def with_leaks(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_id: str = "item_id", item_text: str = "text", params: Decontamination | None = None) -> DataFrame:
-    """``docs`` with a struct ``_leak``: ``contaminated``, ``item_id`` (the best, smallest on ties), ``score``, ``n_items``.
+def with_leaks(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_id: str = "item_id", item_text: str = "text", params: Decontamination | None = None, out: str = "_leak") -> DataFrame:
+    """``docs`` with a struct ``out``: ``contaminated``, ``item_id`` (the best, smallest on ties), ``score``, ``n_items``.
 
     Words are runs of ASCII letters and digits and of any other character, A-Z
     lowered.  Null, empty and wordless texts hold no leak; test items with a null
-    id or without words are left out.  Equal test items both count; equal rows get
-    equal verdicts.  An empty benchmark finds nothing.  Other columns pass through;
-    one named ``_leak`` is replaced.
+    id or without words are left out.  An item of fewer than ``seed_words`` words is
+    found wherever its words stand, so one of a single word contaminates every text
+    with that word.  Equal test items both count; equal rows get equal verdicts.  An
+    empty benchmark finds nothing.  Other columns pass through; one named as ``out``
+    is replaced.
+
+    One block of items is broadcast at a time.  With several, each block's verdicts
+    are written before the next block is loaded, and the best of them joined back.
     """
     p = params or Decontamination()
-    if "_leak" in docs.columns:
-        docs = docs.drop("_leak")
+    docs = docs.drop(out)
+    sc = docs.sparkSession.sparkContext
     kind = T.StructType([T.StructField("contaminated", T.BooleanType()), T.StructField("item_id", T.LongType()), T.StructField("score", T.DoubleType()), T.StructField("n_items", T.LongType())])
     items = benchmark.select(F.col(item_id).cast("long").alias("i"), F.col(item_text).alias("t")).where(r"i is not null and t rlike '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]'")
     total = items.agg(F.sum(F.octet_length("t") + 16)).first()[0] or 0
     n_blocks = max(1, -(-total // p.block_bytes))
-    out = docs
-    for k in range(n_blocks):
-        rows = items.where(F.pmod(F.xxhash64("i"), F.lit(n_blocks)) == k).orderBy("i", "t").collect()  # about block_bytes
-        block = Items.of([r.i for r in rows], [r.t for r in rows], p)
-        schema = T.StructType([*out.schema.fields, T.StructField("_leak", kind)])
-        judged = out.mapInArrow(_judge(block, p, out.columns.index(text_col), out.columns), schema)
-        out = judged if k == 0 else _merge(judged)
-        if k + 1 < n_blocks:
-            out = out.withColumnRenamed("_leak", "_leak0")
-    return out
 
-
-def _merge(rows: DataFrame) -> DataFrame:
-    a, b = F.col("_leak0"), F.col("_leak")
-    better = (b["score"] > a["score"]) | ((b["score"] == a["score"]) & (b["item_id"] < a["item_id"]))
-    best = F.when(better, b).otherwise(a)
-    merged = F.struct((a["contaminated"] | b["contaminated"]).alias("contaminated"), best["item_id"].alias("item_id"), best["score"].alias("score"), (a["n_items"] + b["n_items"]).alias("n_items"))
-    return rows.withColumn("_leak", merged).drop("_leak0")
+    def block(k: int) -> Broadcast:
+        rows = items.where(F.pmod(F.xxhash64("i"), F.lit(n_blocks)) == k).orderBy("i", "t").toArrow()  # about block_bytes
+        return sc.broadcast(Items.of(rows["i"].to_pylist(), rows["t"].to_pylist(), p))
+
+    if n_blocks == 1:
+        return docs.mapInArrow(_judge(block(0), p, docs.columns.index(text_col), out), T.StructType([*docs.schema.fields, T.StructField(out, kind)]))
+    scratch = Scratch(docs.sparkSession, "leaks")
+    uid = free_name("uid", [*docs.columns, out])
+    rows = scratch.write(docs.withColumn(uid, F.monotonically_increasing_id()), "rows")
+    texts = rows.select(uid, text_col)
+    found = None
+    for k in range(n_blocks):
+        held = block(k)
+        judged = texts.mapInArrow(_judge(held, p, 1, "leak"), T.StructType([*texts.schema.fields, T.StructField("leak", kind)]))
+        part = scratch.write(judged.where("leak.score > 0").select(uid, "leak"), f"block{k}")
+        held.destroy()
+        found = part if found is None else found.unionByName(part)
+    leak = lambda f: F.col(f"leak.{f}")
+    top = F.min(F.struct(-leak("score"), F.coalesce(leak("item_id"), F.lit(0)).alias("tie"), leak("item_id").alias("item_id")))
+    best = found.groupBy(uid).agg(F.bool_or(leak("contaminated")).alias("contaminated"), top["item_id"].alias("item_id"), F.max(leak("score")).alias("score"), F.sum(leak("n_items")).alias("n_items"))
+    best = best.select(uid, F.struct("contaminated", "item_id", "score", "n_items").alias(out))
+    none = F.struct(F.lit(False).alias("contaminated"), F.lit(None).cast("long").alias("item_id"), F.lit(0.0).alias("score"), F.lit(0).cast("long").alias("n_items"))
+    return rows.join(best, uid, "left").select(*docs.columns, F.coalesce(out, none).alias(out))
 
 
 def op4_benchmark_decontamination(spark, sf_dir: str) -> DataFrame:
