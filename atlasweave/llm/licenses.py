@@ -2,8 +2,9 @@
 
 A notice that may have k edits is split into k + 1 pieces, of which every match
 within k edits holds one unchanged.  One automaton finds all pieces, and the exact
-base phrases, in a text's words joined by blanks; around each piece the regex
-library's bounded-error matching confirms the notice and counts its edits.
+base phrases, in a text's words joined by blanks; in the window around each piece the
+regex library's bounded-error matching confirms the notice and counts its edits.
+Windows are searched one by one, each once; where matches overlap, fewer edits win.
 """
 
 from __future__ import annotations
@@ -53,6 +54,10 @@ class Scan:
     letters_per_edit: int = 12  # a notice may have one edit for so many of its characters
     most_edits: int = 6
 
+    def __post_init__(self) -> None:
+        if self.letters_per_edit < 5 or self.most_edits < 0:  # else a window could hold two matches
+            raise ValueError(f"bad parameters: {self}")
+
     def edits(self, notice: str) -> int:
         return min(self.most_edits, len(notice) // self.letters_per_edit)
 
@@ -82,7 +87,7 @@ class Finder:
 
     def find(self, text: str) -> tuple[list[tuple[int, int]], list[tuple[int, int, int, int]]]:
         """Of words between blanks: base places (phrase, at) and matches (notice, at, end, edits)."""
-        base, windows = [], {}
+        base, windows = [], set()
         for last, (length, what) in self.automaton.iter(text):
             start = last + 1 - length
             for kind, i, offset in what:
@@ -91,30 +96,13 @@ class Finder:
                     continue
                 notice = self.scan.notices[i][0]
                 k = self.scan.edits(notice)
-                lo, hi = max(0, start - offset - k), min(len(text), start - offset + len(notice) + 2 + k)
-                spans = windows.setdefault(i, [])
-                if spans and lo <= spans[-1][1]:
-                    spans[-1][1] = max(spans[-1][1], hi)
-                    spans[-1][0] = min(spans[-1][0], lo)
-                else:
-                    spans.append([lo, hi])
+                windows.add((i, max(0, start - offset - k), min(len(text), start - offset + len(notice) + 2 + k)))
         found = set()
-        for i, spans in windows.items():
-            for lo, hi in spans:
-                for m in self._places(i, text, lo, hi):
-                    found.add((i, m.start(), m.end(), sum(m.fuzzy_counts)))
-        return base, self._best(found)
-
-    def _places(self, i: int, text: str, lo: int, hi: int) -> Iterator[regex.Match]:
-        """Matches of a notice in a window: the best, then those before and after it, which may share its outer blanks."""
-        least = max(2, len(self.scan.notices[i][0]) + 2 - self.scan.edits(self.scan.notices[i][0]))
-        todo = [(lo, hi)]
-        while todo:
-            lo, hi = todo.pop()
-            m = self.patterns[i].search(text, lo, hi) if hi - lo >= least else None
+        for i, lo, hi in windows:  # too short for two matches, so the best one is the seed's own or overlaps it
+            m = self.patterns[i].search(text, lo, hi)
             if m:
-                yield m
-                todo += [(lo, min(hi - 1, m.start() + 1)), (max(lo + 1, m.end() - 1), hi)]
+                found.add((i, m.start(), m.end(), sum(m.fuzzy_counts)))
+        return base, self._best(found)
 
     def _best(self, found: set) -> list[tuple[int, int, int, int]]:
         """Without matches that overlap one of fewer edits: notices differ by a word only."""
@@ -219,4 +207,5 @@ def op8_license_scan(spark, sf_dir: str) -> DataFrame:
         joined(F.concat(base["label"], own["label"])).alias("labels"),
         "_license.score",
         F.size(own).cast("long").alias("n_matches"),
+        F.array_join(F.transform(own, lambda m: F.format_string("%s:%d-%d:%d", m["label"], m["first_word"], m["last_word"], m["edits"])), ",").alias("spans"),
     )
