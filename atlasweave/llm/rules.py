@@ -97,7 +97,7 @@ def measures(text: Column) -> Column:
             long(F.size(lines) - F.size(F.array_distinct(lines))).alias("n_dup_lines"),
             _repeats(words).alias("n_repeat_words"),
             long(F.size(lines)).alias("n_lines"),
-            long(F.size(F.filter(words, lambda w: w.isin(*STOP_WORDS)))).alias("n_stop_words"),
+            long(F.size(F.filter(words, lambda w: F.lower(w).isin(*STOP_WORDS)))).alias("n_stop_words"),
         )
 
     words = F.filter(F.split(text, SPACE + "+"), lambda w: w != "")
@@ -105,13 +105,13 @@ def measures(text: Column) -> Column:
     return _let(F.struct(text.alias("text"), words.alias("words"), lines.alias("lines")), of)
 
 
-def with_rules(docs: DataFrame, text_col: str = "text", base: tuple[Rule, ...] = BASE_RULES, rules: tuple[Rule, ...] = RULES) -> DataFrame:
-    """``docs`` with one struct column ``_rules``: all measures, ``base_failed``, ``failed`` and ``kept``.
+def with_rules(docs: DataFrame, text_col: str = "text", base: tuple[Rule, ...] = BASE_RULES, rules: tuple[Rule, ...] = RULES, out: str = "_rules") -> DataFrame:
+    """``docs`` with one struct column ``out``: all measures, ``base_failed``, ``failed`` and ``kept``.
 
     Measured over the whole text.  Null, empty and blank texts have no words and
     fail ``few_words``.  Every row is judged by itself, so repeated rows get equal
     verdicts and an empty table gives an empty one.  Other columns pass through;
-    a column of ``docs`` named ``_rules`` is replaced.
+    a column of ``docs`` named as ``out`` is replaced.
     """
 
     def judge(m: Column) -> Column:
@@ -119,7 +119,7 @@ def with_rules(docs: DataFrame, text_col: str = "text", base: tuple[Rule, ...] =
         base_failed, failed = named(base), named((*base, *rules))
         return F.struct(*[m[n].alias(n) for n in MEASURES], (F.size(base_failed) > 0).alias("base_failed"), failed.alias("failed"), (F.size(failed) == 0).alias("kept"))
 
-    return docs.withColumn("_rules", _let(measures(F.col(text_col)), judge))
+    return docs.withColumn(out, _let(measures(F.col(text_col)), judge))
 
 
 def op9_quality_rules(spark, sf_dir: str) -> DataFrame:
@@ -141,7 +141,7 @@ m AS (SELECT w.doc_id, CAST(len(ws) AS BIGINT) AS n_words,
              CAST(len(regexp_extract_all(text, '[#*$%&|<>]')) AS BIGINT) AS n_symbols,
              CAST(len(ls) - len(list_distinct(ls)) AS BIGINT) AS n_dup_lines,
              CAST(coalesce(c.n, 0) AS BIGINT) AS n_repeat_words, CAST(len(ls) AS BIGINT) AS n_lines,
-             len(list_filter(ws, lambda x: x IN ({_STOP_SQL}))) AS n_stop_words
+             len(list_filter(ws, lambda x: lower(x) IN ({_STOP_SQL}))) AS n_stop_words
       FROM w LEFT JOIN c ON c.doc_id = w.doc_id),
 f AS (SELECT *, list_filter([
         CASE WHEN n_words < 50 THEN 'few_words' END,
