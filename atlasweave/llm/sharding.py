@@ -36,7 +36,7 @@ def balanced_shards(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     without links cut nothing wherever they are, so they fill every shard up to
     its even share.  A group larger than a shard fills one after another.
 
-    ``slot`` numbers a shard's rows from 0 in hash order.  ``grown_shard`` is null
+    ``slot`` numbers a shard's rows from 0 in an order of hashes that spreads equal rows too.  ``grown_shard`` is null
     under this law.  Null text: size 1, crc of nothing, linked with empty texts;
     a null id is hashed as such.  Repeated rows are one group.  An empty table
     gives an empty one; other columns are ignored.
@@ -52,14 +52,18 @@ def balanced_shards(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         F.crc32(text.cast("binary")).alias("text_crc32"),
         linked.alias("grp"),
     )
-    rows = rows.withColumn("place", F.xxhash64(F.lit("place"), "doc_id", "grp"))
+    rows = rows.withColumn("place", F.xxhash64(F.lit("place"), "doc_id", "grp", "uid"))
     rows = scratch.write(rows.withColumn("fine", F.pmod("place", F.lit(p.fine))), "rows")
     total = rows.agg(F.sum("size")).first()[0] or 0
     share = max(1.0, total / p.shards)
 
-    groups = rows.groupBy("grp").agg(F.count("*").alias("n"), F.sum("size").alias("bytes")).where("n > 1")
+    # a group's rows meet its sums by one of 64 hashes, so that a hot group spreads
+    salted = rows.withColumn("salt", F.pmod(F.xxhash64(F.lit("salt"), "uid"), F.lit(64)))
+    sums = salted.groupBy("grp", "salt").agg(F.count("*").alias("n"), F.sum("size").alias("bytes"))
+    groups = sums.groupBy("grp").agg(F.sum("n").alias("n"), F.sum("bytes").alias("bytes")).where("n > 1")
     parts = F.least(F.col("n"), F.floor(F.col("bytes") * p.grain / F.lit(share * p.shards)) + 1).cast("int")
-    placed = rows.join(groups.select("grp", parts.alias("parts")), "grp", "left")
+    known = sums.select("grp", "salt").join(groups.select("grp", parts.alias("parts")), "grp")
+    placed = salted.join(known, ["grp", "salt"], "left").drop("salt")
     start = F.pmod(F.xxhash64(F.lit("start"), "uid"), F.lit(p.shards)).cast("int")
     part = F.pmod(F.xxhash64(F.lit("part"), "uid"), F.col("parts")).cast("int")
     placed = placed.withColumn("start", F.when(F.col("parts").isNotNull(), start)).withColumn("part", part).drop("parts")
