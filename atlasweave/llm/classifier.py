@@ -37,13 +37,14 @@ class Classifier:
     l1: float = 0.02
     l2: float = 0.5
     threshold: float = 0.7
+    shapes: bool = True  # use word shapes, repeated words and repeated pairs beside the words and pairs themselves
 
     def __post_init__(self) -> None:
         if not 8 <= self.bits <= 24 or self.sample < 1 or self.epochs < 1 or min(self.alpha, self.beta) <= 0:
             raise ValueError(f"bad parameters: {self}")
 
 
-def features(raw: np.ndarray, offsets: np.ndarray, lo: int, hi: int, bits: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def features(raw: np.ndarray, offsets: np.ndarray, lo: int, hi: int, bits: int, with_shapes: bool = True) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Feature numbers and values of rows lo:hi, one row after another, and their bounds; rows have length 1."""
     w = tokens.words(raw, offsets, lo, hi)
     word, row = w.hashes(), w.row
@@ -65,6 +66,9 @@ def features(raw: np.ndarray, offsets: np.ndarray, lo: int, hi: int, bits: int)
         shapes = tokens.mix(shapes + flags * U64(0x9E3779B97F4A7C15))
         all_ = np.concatenate([word, tokens.mix(pair ^ U64(1)), tokens.mix(shape ^ U64(2)), shapes])
     rows = np.concatenate([row, row[p0], row, row[s0]])
+    if not with_shapes:
+        n = len(word) + len(pair)
+        all_, rows = all_[:n], rows[:n]
     key = (rows.astype(np.int64) << bits) | (all_ >> U64(64 - bits)).astype(np.int64)
     key, count = np.unique(key, return_counts=True)
     bounds = np.searchsorted(key >> bits, np.arange(hi - lo + 1))
@@ -80,7 +84,7 @@ def _extract(p: Classifier):
         for batch in batches:
             raw, offsets = tokens.text_buffer(batch.column(0))
             for lo, hi in tokens.blocks(offsets):
-                at, value, bounds = features(raw, offsets, lo, hi, p.bits)
+                at, value, bounds = features(raw, offsets, lo, hi, p.bits, p.shapes)
                 b = pa.array(bounds.astype(np.int32))
                 yield pa.record_batch([batch.column(1).slice(lo, hi - lo), batch.column(2).slice(lo, hi - lo), pa.ListArray.from_arrays(b, pa.array(at)), pa.ListArray.from_arrays(b, pa.array(value))], names=["turn", "label", "at", "value"])
 
@@ -140,7 +144,7 @@ def with_scores(docs: DataFrame, weights: np.ndarray, text_col: str = "text", pa
             raw, offsets = tokens.text_buffer(batch.column(at))
             out = np.zeros(batch.num_rows)
             for lo, hi in tokens.blocks(offsets):
-                number, value, bounds = features(raw, offsets, lo, hi, p.bits)
+                number, value, bounds = features(raw, offsets, lo, hi, p.bits, p.shapes)
                 total = np.append(0.0, np.cumsum(weights[number] * value.astype(np.float64)))
                 out[lo:hi] = total[bounds[1:]] - total[bounds[:-1]]
             score = 1 / (1 + np.exp(-np.clip(np.round(out + float(weights[-1]), 9), -35, 35)))
