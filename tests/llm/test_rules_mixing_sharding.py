@@ -1,12 +1,16 @@
+import math
+import random
 import zlib
 from collections import Counter
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 from atlasweave.llm.mixing import OP5_SQL, mix_sources, source_targets
 from atlasweave.llm.rules import OP9_SQL, with_rules
-from atlasweave.llm.sharding import Sharding, balanced_shards
+from atlasweave.llm.scratch import Scratch
+from atlasweave.llm.sharding import Sharding, _propagate, balanced_shards
 
 from . import cases
 
@@ -49,11 +53,36 @@ def test_rules(spark):
 
 def test_targets_stop_and_are_shared_again(spark):
     sizes = spark.createDataFrame([("a", 10), ("b", 1000), (None, 500), ("c", 0)], "source string, source_size long")
-    got = {r.source: r.target for r in source_targets(sizes).collect()}
+    got = {r.source: r.target for r in source_targets(sizes, Scratch(spark, "test")).collect()}
     assert got["a"] == 30 and got["c"] == 0 and sum(got.values()) == pytest.approx(1510)
     assert got[None] / got["b"] == pytest.approx(1 / 2)  # places: a 1, b 2, c 3, null 1
 
 
+def test_targets_of_many_sources_are_the_plain_ones(spark):
+    rng = random.Random(17)
+    given = {f"h{rng.randrange(10**6)}": rng.choice([0, 1, 7, 90, 4000]) for _ in range(400)} | {None: 50}
+    got = {r.source: r.target for r in source_targets(spark.createDataFrame(list(given.items()), "source string, source_size long"), Scratch(spark, "test")).collect()}
+    names = sorted((n for n in given if n is not None)) + [None]
+    weight = {n: 1.0 + i % 3 for i, n in enumerate(names)}
+    want, free = {}, set(names)
+    while True:
+        left = sum(given.values()) - sum(want.values())
+        level = left / sum(weight[n] for n in free)
+        over = {n for n in free if level * weight[n] > 3 * given[n]}
+        if not over:
+            break
+        want |= {n: 3.0 * given[n] for n in over}
+        free -= over
+    want |= {n: level * weight[n] for n in free}
+    assert got == {n: pytest.approx(v) for n, v in want.items()}
+
+
+def test_mixing_spreads_rows_without_ids(spark):
+    rows = [(None, "w " * (1 + i % 7) + f"n{i}", "ab"[i % 2], "", "", "", 0) for i in range(600)]
+    got = [sorted((r.source_size, r["size"], r.taken) for r in mix_sources(cases.frame(spark, rows[::d])).collect()) for d in (1, -1)]
+    assert got[0] == got[1]  # whatever the order of the rows
+
+
 def test_mixing(spark):
     rows = UNIQUE(cases.documents())
     got = mix_sources(cases.frame(spark, rows)).collect()
@@ -73,6 +102,57 @@ def test_mixing_keeps_to_targets(spark):
         assert abs(sum(r.taken for r in own) - own[0].target) <= 7
 
 
+def test_propagation_is_the_plain_one(spark):
+    rng = random.Random(23)
+    p = Sharding(shards=5, rounds=6)
+    blocks = [(f"g{g}", start, part, rng.randrange(1, 60)) for g in range(40) for start in range(5) for part in range(rng.randrange(0, 3))]
+    share = sum(b[3] for b in blocks) / p.shards / 0.9
+    frame = spark.createDataFrame(blocks, "grp string, start int, part int, bytes long")
+    ties = {(r.grp, r.shard): r.h for r in frame.select("grp").distinct().crossJoin(spark.range(5).select(F.col("id").cast("int").alias("shard"))).select("grp", "shard", F.xxhash64("grp", "shard").alias("h")).collect()}
+    turns = {(r.grp, r.start, r.part): r.h for r in frame.select("grp", "start", "part", F.pmod(F.xxhash64("grp", "start", "part"), F.lit(4096)).alias("h")).collect()}
+
+    at = {b[:3]: b[1] for b in blocks}
+    size = {b[:3]: b[3] for b in blocks}
+    for _ in range(p.rounds):
+        sizes = [sum(size[b] for b in at if at[b] == i) for i in range(p.shards)]
+        held = {}
+        for b, shard in at.items():
+            held[b[0], shard] = held.get((b[0], shard), 0) + size[b]
+        open_ = {i for i in range(p.shards) if sizes[i] < p.full * share - 1}
+        want = {}
+        for b, shard in at.items():
+            there = max(((h, ties[g, i], i) for (g, i), h in held.items() if g == b[0] and i in open_), default=None)
+            if there and shard in open_ and there[2] != shard:
+                want.setdefault((shard, there[2]), []).append((64 - math.ceil(math.log2(there[0] - held[b[0], shard] + 2)), turns[b], b))
+        flow = {k: sum(size[b] for *_, b in v) for k, v in want.items()}
+        asked = [sum(max(0, f - flow.get((j, i), 0)) for (i, j), f in flow.items() if j == k) for k in range(p.shards)]
+        moves = {}
+        for (i, j), queue in want.items():
+            back = min(flow[i, j], flow.get((j, i), 0))
+            quota = back + (max(0.0, p.full * share - sizes[j]) * (flow[i, j] - back) / asked[j] if asked[j] else 0)
+            total = 0
+            for *_, b in sorted(queue):
+                total += size[b]
+                if total <= quota:
+                    moves[b] = j
+        if not moves:
+            break
+        at |= moves
+    assert sum(at[b] != b[1] for b in at) > 10
+    sizes = [sum(b[3] for b in blocks if b[1] == i) for i in range(p.shards)]
+    scratch = Scratch(spark, "test")
+    got = _propagate(scratch.write(frame.withColumn("shard", F.col("start")), "blocks"), sizes, share, p, scratch).collect()
+    assert {(r.grp, r.start, r.part): r.shard for r in got} == at
+    assert sizes == [sum(size[b] for b in at if at[b] == i) for i in range(p.shards)]
+
+
+def test_sharding_of_repeated_rows_and_no_ids(spark):
+    rows = [(None, "same", "a", "", "", "", 0)] * 300 + [(7, "one", "a", "", "", "", 0)] * 300 + [(i, None, "a", "", "", "", 0) for i in range(100, 200)]
+    got = balanced_shards(cases.frame(spark, rows), params=Sharding(shards=3)).collect()
+    by = Counter(r.shard for r in got)
+    assert len(got) == 700 and all(sorted(r.slot for r in got if r.shard == s) == list(range(n)) for s, n in by.items())
+
+
 def test_sharding(spark):
     rows = cases.documents() + [(1000 + i, f"same {i % 40}", "a", "", "", "", 0) for i in range(1200)] + [(5000 + i, f"own {i} " * 20, "a", "", "", "", 0) for i in range(1500)]
     got = balanced_shards(cases.frame(spark, rows)).collect()

@@ -9,11 +9,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from atlasweave.llm import ppm, tokens
-from atlasweave.llm.classifier import Classifier, train, with_scores
+from atlasweave.llm.classifier import Classifier, features, ftrl, train, with_scores
 from atlasweave.llm.decontaminate import Decontamination, align, with_leaks
 from atlasweave.llm.licenses import BASE_PHRASES, Finder, Scan, with_licenses
 from atlasweave.llm.lm import Scoring, held_out_rows, score_documents
-from atlasweave.llm.urls import filter_urls
+from atlasweave.llm.urls import filter_urls, url_keys
 
 from . import cases
 
@@ -68,6 +68,54 @@ def test_classifier_learns_and_keeps_held_out_apart(spark):
         Classifier(bits=99)
 
 
+def test_ftrl_is_the_plain_one():
+    """Coordinate by coordinate, as the paper states it."""
+    rng = random.Random(6)
+    p = Classifier(bits=8, epochs=2)
+    rows = []
+    for _ in range(60):
+        at = sorted(rng.sample(range(256), rng.randrange(1, 12)))
+        rows.append((np.array(at, dtype=np.int32), np.array([rng.random() for _ in at], dtype=np.float32)))
+    labels = np.array([float(rng.random() < 0.5) for _ in rows])
+    z, n = [0.0] * 257, [0.0] * 257
+
+    def weight(i):
+        return 0.0 if abs(z[i]) <= p.l1 else -(z[i] - math.copysign(p.l1, z[i])) / ((p.beta + math.sqrt(n[i])) / p.alpha + p.l2)
+
+    order = np.random.default_rng(5)
+    for _ in range(p.epochs):
+        for k in order.permutation(len(rows)):
+            x = {**dict(zip(rows[k][0].tolist(), rows[k][1].tolist(), strict=True)), 256: 1.0}
+            w = {i: weight(i) for i in x}
+            error = 1 / (1 + math.exp(-sum(w[i] * v for i, v in x.items()))) - labels[k]
+            for i, v in x.items():
+                g = error * v
+                z[i] += g - (math.sqrt(n[i] + g * g) - math.sqrt(n[i])) / p.alpha * w[i]
+                n[i] += g * g
+    assert ftrl(rows, labels, p).tolist() == pytest.approx([weight(i) for i in range(257)], rel=1e-4, abs=1e-6)
+
+
+def test_features_are_counts_of_ngrams():
+    import pyarrow as pa
+
+    texts = ["a b a b a", "", "a b", None, "x " * 200_000]
+    raw, offsets = tokens.text_buffer(pa.array(texts))
+    at, value, bounds = features(raw, offsets, 0, len(texts), 18, False)
+    sizes = np.diff(bounds).tolist()
+    assert sizes == [4, 0, 3, 0, 2]  # words and pairs: a, b, ab, ba; a, b, ab; x, xx
+    want = np.log1p([3, 2, 2, 2])  # a, b, ab, ba
+    assert sorted(value[:4].tolist()) == pytest.approx(sorted((want / np.linalg.norm(want)).tolist()), rel=1e-5)
+    assert set(at[bounds[2] : bounds[3]]) <= set(at[:4])
+
+
+def test_scores_of_repeated_rows_are_equal(spark):
+    rows = [(i % 5, cases.prose(random.Random(i % 5), 30), "a", "", "", "", 0) for i in range(30)]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(5)] * 2, "doc_id long, quality int")
+    weights = train(cases.frame(spark, rows), labels, F.lit(True))
+    got = {(r.doc_id, r._score) for r in with_scores(cases.frame(spark, rows), weights).collect()}
+    assert len(got) == 5
+
+
 def smith_waterman(a, b, p):
     best, h = 0.0, [[0.0] * (len(b) + 1) for _ in range(len(a) + 1)]
     for i in range(1, len(a) + 1):
@@ -102,6 +150,52 @@ def test_leaks(spark):
     assert with_leaks(cases.frame(spark, []), spark.createDataFrame(items, "item_id long, text string")).count() == 0
 
 
+def plain_leaks(text, items, p):
+    """Best item and score, and how many items reach the threshold: all seeds, all passages, one word at a time."""
+    form = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
+    words, found = form.findall(cases.lower(text)), []
+    for k, item in items:
+        w = form.findall(cases.lower(item))
+        if k is None or not w:
+            continue
+        n = p.seed_words if len(w) >= p.seed_words else 1
+        margin = 4 + len(w) // 4
+        offsets = range(len(w) - n + 1) if n > 1 else [0]
+        at = sorted((i - o, o) for i in range(len(words) - n + 1) for o in offsets if words[i : i + n] == w[o : o + n])
+        runs = []
+        for d, o in at:
+            if runs and d - runs[-1][-1][0] <= margin:
+                runs[-1].append((d, o))
+            else:
+                runs.append([(d, o)])
+        need = min(p.hits, max(1, len(w) - p.seed_words + 1))
+        scores = [smith_waterman(w, words[max(0, r[0][0] - margin) : r[-1][0] + len(w) + margin], p) / len(w) for r in runs if len({o for _, o in r}) >= need]
+        if scores and max(scores) > 0:
+            found.append((min(1.0, max(scores)), k))
+    best = min(found, key=lambda f: (-f[0], f[1]), default=(0.0, None))
+    many = sum(s >= p.threshold for s, _ in found)
+    return many > 0, best[1] if best[0] >= p.threshold else None, round(best[0], 5), many
+
+
+@pytest.mark.parametrize("p", [Decontamination(), Decontamination(block_bytes=400)])
+def test_leaks_are_the_plain_ones(spark, p):
+    rng = random.Random(21)
+    items = [(k, cases.prose(rng, rng.randrange(1, 24), 60)) for k in range(25)] + [(30, None), (None, "w1 w2 w3"), (31, "...")]
+    rows = []
+    for i in range(120):
+        words = cases.prose(rng, rng.randrange(0, 60), 60).split()
+        if i % 2 and items[i % 25][1]:
+            copy = [w if rng.random() > 0.15 else f"e{rng.randrange(9)}" for w in items[i % 25][1].split() if rng.random() > 0.1]
+            at = rng.randrange(len(words) + 1)
+            words[at:at] = copy
+        rows.append((i, " ".join(words), "a", "", "", "", 0))
+    rows += [(200, None, "a", "", "", "", 0), (201, rows[1][1], "a", "", "", "", 0), (202, "", "a", "", "", "", 0)]
+    docs = cases.frame(spark, rows)
+    got = {r.doc_id: (r.leak.contaminated, r.leak.item_id, round(r.leak.score, 5), r.leak.n_items) for r in with_leaks(docs, spark.createDataFrame(items, "item_id long, text string"), params=p, out="leak").collect()}
+    assert got == {r[0]: plain_leaks(r[1], items, p) for r in rows}
+    assert sum(v[0] for v in got.values()) > 20
+
+
 def test_common_leak_keeps_its_seeds(spark):
     rng = random.Random(6)
     item = cases.prose(rng, 25, 9000)
@@ -231,6 +325,53 @@ def test_every_place_of_a_repeated_notice_counts():
         assert [(a, edits) for _, a, _, edits in finder.find(text)[1]] == want
 
 
+def test_mixed_notices_keep_their_places_and_edits():
+    rng, scan = random.Random(31), Scan()
+    finder = Finder(scan)
+    for _ in range(40):
+        text, want = " ", []
+        for _ in range(rng.randrange(1, 12)):
+            kind = rng.randrange(len(scan.notices))
+            notice, edits = list(scan.notices[kind][0]), 0
+            if rng.random() < 0.6:
+                places = [i for i, c in enumerate(notice[:8]) if c != " " and i]  # not where notices differ from one another
+                notice[rng.choice(places)] = "q"
+                edits = 1
+            want.append((scan.notices[kind][1], len(text) - 1, edits))
+            text += "".join(notice) + " " + rng.choice(["", "and also ", "some other words in between "])
+        got = [(scan.notices[k][1], a, e) for k, a, _, e in finder.find(text)[1]]
+        assert got == want
+
+
+def test_long_text_full_of_notices_and_its_spans(spark):
+    notice = "licensed undr the mit license "
+    text = notice * 20_000
+    got = with_licenses(cases.frame(spark, [(1, text, "a", "", "", "", 0)])).first()._license
+    assert len(got.matches) == 20_000 and got.n_words == 100_000
+    assert all((m.first_word, m.last_word, m.edits) == (5 * i, 5 * i + 4, 1) for i, m in enumerate(got.matches))
+    with pytest.raises(ValueError):
+        Scan(letters_per_edit=2)
+
+
+def test_url_keys(spark):
+    def keys(url, depths=None):
+        return spark.range(1).select(url_keys(F.lit(url).cast("string"), depths).alias("k")).first().k
+
+    assert keys("http://10.0.0.1:80/a") == ["10.0.0.1", "10.0.0.1/a"] and keys("http://[::1]:8/") == ["[::1]"]
+    assert keys("https://u@A.example.com./x//y/z?q#f") == ["a.example.com", "example.com", "a.example.com/x", "a.example.com/x/y", "a.example.com/x/y/z"]
+    assert keys("http://localhost/x/y/z", [2, 9]) == ["localhost", "localhost/x/y"]
+    assert keys(None) == keys("") == keys("mailto:x") == []
+
+
+def test_deep_paths_long_urls_and_clashing_columns(spark):
+    long = "http://long.example.com/" + "s/" * 50_000 + "?" + "q" * 100_000
+    captures = spark.createDataFrame([(1, "http://b.example.com/A/b/c/d/e", 7, 8, 9, 10), (2, long, 7, 8, 9, 10), (3, "http://b.example.com/a/b/c", 7, 8, 9, 10)], "id long, url string, n int, best int, uid int, hit int").withColumn("fetched", F.to_timestamp(F.lit("2024-03-01 00:00:00")))
+    lists = spark.createDataFrame([("l", "B.example.com/A/b/c/", "add", "x", "2024-01-01"), ("l", "long.example.com/" + "/".join(["s"] * 40_000), "add", "y", "2024-01-01")], "list string, key string, action string, category string, dated string").withColumn("dated", F.to_date("dated"))
+    got = filter_urls(captures, lists)
+    assert got.columns == [*captures.columns, "_url"]
+    assert {r.id: (r._url.blocked, r._url.category, r.n, r.best) for r in got.collect()} == {1: (True, "x", 7, 8), 2: (True, "y", 7, 8), 3: (False, None, 7, 8)}
+
+
 def test_urls(spark):
     captures = [(1, "http://a.b.Example.com/x/y?z", "2024-03-01 10:00:00"), (2, "http://a.b.example.com/x/y", "2024-05-01 00:00:00"), (3, None, "2024-05-01 00:00:00"), (4, "http://example.com", None), (5, "http://example.com/q", "2024-07-01 00:00:00"), (5, "http://example.com/q", "2024-07-01 00:00:00"), (6, "no url", "2024-07-01 00:00:00")]
     entries = [("l", "example.com", "add", "spam", "2024-02-01"), ("l", "example.com", "remove", None, "2024-04-01"), ("l", "example.com", "add", "adult", "2024-06-01"), ("l", "example.com", "add", "adult", "2024-06-01"), ("m", "a.b.example.com/x", "add", "bad", "2024-01-01"), ("m", None, "add", "bad", "2024-01-01"), ("m", "b.example.com", "add", "bad", None), ("n", "example.com", "add", "x", "2024-02-01"), ("n", "example.com", "remove", "x", "2024-02-01")]
