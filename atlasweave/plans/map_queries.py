@@ -271,13 +271,3 @@ def geojson_features(t: Tables) -> DataFrame:
     read = made.withColumn("f", F.from_json("feature", "type string, geometry struct<type:string,coordinates:array<double>>, properties struct<c_custkey:bigint>"))
     at = lambda i: F.round(F.get("f.geometry.coordinates", F.lit(i)), 6)
     return read.select("c_custkey", "f.type", F.col("f.geometry.type").alias("shape"), at(0).alias("lon"), at(1).alias("lat"), F.col("f.properties.c_custkey").alias("key"), F.col("feature").contains('"wiki":null').alias("shows_null"))
-
-
-@query("network_demo")
-def network_demo(t: Tables) -> DataFrame:
-    """Nodes and links of a small drawn network, from curves to edges."""
-    paths = t.spark.createDataFrame([("p1", 0, "M 0 0 L 100 0", "stroke-width:4.1px"), ("p2", 1, "M 50 -40 L 50 60", None)], "path_id string, path_ord int, d string, style string")
-    places = t.spark.createDataFrame([("X", 2.0, 1.0), ("Y", 51.0, 58.0)], "name string, x double, y double")
-    nodes, edges = graphs.build_network(paths, places)
-    del nodes
-    return edges.select("node1_id", "node2_id", "path_id", F.round("length", 3).alias("length"), F.round("weight", 3).alias("weight"))

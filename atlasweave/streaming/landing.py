@@ -9,9 +9,9 @@ from ..sources.gazetteers import schema
 
 
 def landing_stream(spark: SparkSession, folder: str, flavour: str, per_batch: int = 100) -> DataFrame:
-    """Rows of CSV files as they land, with ``series`` and ``taken`` from the file's name."""
-    form = r"([^/]*)_(\d{8}_\d{6})\.csv$"
-    rows = spark.readStream.schema(schema(flavour)).option("header", True).option("maxFilesPerTrigger", per_batch).csv(folder)
+    """Rows of CSV files as they land, with ``series`` and ``taken`` from the name of the file, or of the folder that its parts are in."""
+    form = r"([^/]*)_(\d{8}_\d{6})\.csv(?:/[^/]*)?$"
+    rows = spark.readStream.schema(schema(flavour)).option("header", True).option("multiLine", True).option("escape", '"').option("maxFilesPerTrigger", per_batch).csv(folder)
     name = F.col("_metadata.file_path")
     return rows.withColumn("series", F.regexp_extract(name, form, 1)).withColumn("taken", F.try_to_timestamp(F.regexp_extract(name, form, 2), F.lit("yyyyMMdd_HHmmss")))
 

@@ -9,7 +9,7 @@ import __spark_entry__ as driver
 from atlasweave.plans import catalogue
 
 HERE = "/root/testdata/sf0.001"
-CHEAP = ["enrich_size_report", "tags_parse", "name_variants", "html_description", "distance_join", "sssp", "snapshot_diff", "tile_grid"]
+CHEAP = ["enrich_size_report", "tags_parse", "name_variants", "html_description", "distance_join", "sssp", "snapshot_diff", "tile_grid", "csv_scan", "csv_stream", "network_edges", "network_map", "wiki_lookup", "report_text"]
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(HERE), reason="no test tables")
 
