@@ -46,16 +46,20 @@ def leading_paragraphs(texts: Column, most: int = 200, least: int = 20) -> Colum
     return F.aggregate(fit, empty, step)["kept"]
 
 
+# Citation marks, blanks before punctuation, and where a sentence ends.
+CITATION, BEFORE_PUNCTUATION, SENTENCE_END = r"\[\d+[a-z]?\]", r"\s+([.,!?;:])", r"(?<=[.!?])\s+(?=[A-Z])"
+
+
 def clean_citations(text: Column) -> Column:
     """Without ``[1]`` and ``[2a]``, white space collapsed, none before punctuation."""
-    out = F.regexp_replace(text, r"\[\d+[a-z]?\]", "")
+    out = F.regexp_replace(text, CITATION, "")
     out = F.regexp_replace(out, r"\s+", " ")
-    return F.regexp_replace(out, r"\s+([.,!?;:])", "$1")
+    return F.regexp_replace(out, BEFORE_PUNCTUATION, "$1")
 
 
 def first_sentences(text: Column, count: int = 3) -> Column:
     """The first sentences; one ends at white space between .!? and a capital."""
-    return F.trim(F.array_join(F.slice(F.split(text, r"(?<=[.!?])\s+(?=[A-Z])"), 1, count), " "))
+    return F.trim(F.array_join(F.slice(F.split(text, SENTENCE_END), 1, count), " "))
 
 
 def description(html: Column) -> Column:

@@ -10,10 +10,10 @@ ORIGIN_X, SCALE, CONSTANT_Y = 428.530, 0.017504, 3347.85
 
 # Drawing x and y, and longitude and latitude, of known points.
 CALIBRATION = (
-    ("P1", 428.519, 407.885, 0.000, 51.460),
-    ("P2", 495.376, 187.843, 1.172, 55.312),
-    ("P3", 738.284, 778.673, 5.422, 44.970),
-    ("P4", 891.496, 479.299, 8.104, 50.210),
+    ("Altdorf", 428.519, 407.885, 0.000, 51.460),
+    ("Middenheim", 495.376, 187.843, 1.172, 55.312),
+    ("Wachdorf", 738.284, 778.673, 5.422, 44.970),
+    ("Waldenhof (Sylvania)", 891.496, 479.299, 8.104, 50.210),
 )
 
 # The tile frame in degrees, its pixels, and the viewer's full extent and scale.

@@ -48,9 +48,13 @@ def comparison_variants(name: Column) -> Column:
     return F.array_distinct(F.array(text, strip_marks(text), *[F.replace(text, F.lit(a), F.lit(b)) for a, b in SPELLINGS]))
 
 
+# A name, and what its first bracket holds.
+BRACKET = r"(.+?)\s*\((.+?)\)"
+
+
 def bracket_variants(name: Column) -> Column:
     """The name; what stands before its first bracket, if that differs; what stands inside."""
-    before, inside = F.regexp_extract(name, r"(.+?)\s*\((.+?)\)", 1), F.regexp_extract(name, r"(.+?)\s*\((.+?)\)", 2)
+    before, inside = F.regexp_extract(name, BRACKET, 1), F.regexp_extract(name, BRACKET, 2)
     before, inside = F.trim(before), F.trim(inside)
     return F.array_compact(F.array(name, F.when((before != "") & (before != name), before), F.when(inside != "", inside)))
 
