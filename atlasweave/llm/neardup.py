@@ -8,11 +8,14 @@ tells how many samples differ, and for high similarities tells it precisely
 (Mitzenmacher, Pagh and Pham, 2014).  Candidates that it lets pass are confirmed
 on the full shingle sets; components of the confirmed links are the groups.
 
-Equal sets are one class before anything is paired.  In a band's bucket each
-class is first compared with the bucket's smallest class only.  Where that
-leaves a bucket in several components, its classes are compared in blocks, each
-naming its closest partners in another component, in rounds of growing number;
-the last round has no limit, so no candidate pair is lost.
+Equal sets are one class before anything is paired.  The smallest class of a band's
+bucket is its star; each class is compared with the star that it shares most bands
+with, then with the others that are still in another component.  Where that leaves a
+bucket in several components, those of its largest component are compared with the
+others and the others with one another, in blocks, each
+naming its closest partners in another component, in rounds of growing number; the
+last round has no limit, and ends the others where none is met, so no candidate pair is
+lost.
 """
 
 from __future__ import annotations
@@ -28,7 +31,7 @@ from pyspark.sql import types as T
 
 from . import tokens
 from .components import connected_components
-from .scratch import Scratch
+from .scratch import Scratch, free_name
 
 U32, U64 = np.uint32, np.uint64
 
@@ -44,8 +47,9 @@ class NearDup:
     samples: int = 1024  # smallest hashes that are folded
     bits: int = 2048  # of an odd sketch
     deviations: float = 5.0  # by which a candidate's differing bits may exceed those of the threshold
-    block: int = 1024  # classes of a bucket that are compared at once
-    rounds: tuple[int, ...] = (1, 16, 0)  # partners named in each round; 0: all
+    block: int = 512  # classes of a bucket that are compared at once
+    rounds: tuple[int, ...] = (4, 0)  # partners named in each round; 0: all
+    confirm: int = 1 << 15  # shingles of partners that a star is confirmed with in one part
 
     def __post_init__(self) -> None:
         if self.ngram < 1 or not 50 <= self.percent <= 100 or self.bands < 1 or self.rows < 1 or self.samples < 1 or self.bits % 64:
@@ -136,55 +140,66 @@ def _sketches(p: NearDup):
 
 
 def _close(p: NearDup):
-    """Keeps pairs whose sketches (columns oa, ob; sizes na, nb) differ in few enough bits."""
+    """Keeps pairs whose sketches differ in few enough bits; adds the partner's size."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows:
-                a, b = (_stack(batch.column(i)) for i in (2, 3))
-                n, m = (batch.column(i).to_numpy() for i in (4, 5))
-                ok = pa.array(np.bitwise_count(a ^ b).sum(axis=1) <= p.most_bits(n, m))
-                yield pa.record_batch([batch.column(i).filter(ok) for i in (0, 1)], names=["a", "b"])
+        for star, uid, first, n, odd in _stars(batches, lambda c: (c[0].to_numpy(), _stack(c[1]))):
+            far = np.bitwise_count(odd ^ odd[first]).sum(axis=1)
+            ok = (far <= p.most_bits(n, n[first])) & (uid != star)
+            yield pa.record_batch([pa.array(star[ok]), pa.array(uid[ok]), pa.array(n[ok])], names=["a", "b", "nb"])
 
     return run
 
 
-def _stack(column: pa.Array) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), dtype=U64).reshape(len(column), -1)
+def _confirmed(p: NearDup):
+    """Of every pair whether the full sets of its texts are similar enough."""
 
+    def sets_of(columns: list[pa.Array]) -> tuple[list[np.ndarray]]:
+        raw, offsets = tokens.text_buffer(columns[0])
+        out: list[np.ndarray] = []
+        for lo, hi in tokens.blocks(offsets):
+            sets, bounds = tokens.shingle_sets(tokens.words(raw, offsets, lo, hi), p.ngram)
+            out += [sets[x:y] for x, y in zip(bounds[:-1], bounds[1:], strict=True)]
+        return (out,)
 
-def _sets(p: NearDup):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            raw, offsets = tokens.text_buffer(batch.column(1))
-            for lo, hi in tokens.blocks(offsets):
-                sets, bounds = tokens.shingle_sets(tokens.words(raw, offsets, lo, hi), p.ngram)
-                yield pa.record_batch([batch.column(0).slice(lo, hi - lo), pa.array([sets[x:y].tobytes() for x, y in zip(bounds[:-1], bounds[1:], strict=True)], type=pa.binary())], names=["uid", "shingles"])
+        for star, uid, first, sets in _stars(batches, sets_of):
+            pairs = np.flatnonzero(uid != star)
+            ok = np.zeros(len(pairs), dtype=bool)
+            for k, i in enumerate(pairs):
+                x, y = sets[first[i]], sets[i]
+                if 100 * min(len(x), len(y)) >= p.percent * max(len(x), len(y)):
+                    common = int((x[np.minimum(np.searchsorted(x, y), len(x) - 1)] == y).sum())
+                    ok[k] = 100 * common >= p.percent * (len(x) + len(y) - common)
+            yield pa.record_batch([pa.array(star[pairs]), pa.array(uid[pairs]), pa.array(ok)], names=["a", "b", "ok"])
 
     return run
 
 
-def _confirmed(p: NearDup):
-    """Keeps pairs whose full sets (columns sa, sb) are similar enough; adds whether."""
+def _stars(batches: Iterator[pa.RecordBatch], read) -> Iterator[tuple]:
+    """Rows (``a``, ``part``, ``uid``, payload) with their star's place, the star's own row being put first where it came in an earlier batch.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ok = np.zeros(batch.num_rows, dtype=bool)
-            for i, (x, y) in enumerate(zip(batch.column(2), batch.column(3), strict=True)):
-                x, y = np.frombuffer(x.as_py(), U64), np.frombuffer(y.as_py(), U64)
-                small, large = min(len(x), len(y)), max(len(x), len(y))
-                if 100 * small >= p.percent * large:
-                    both = np.concatenate([x, y])
-                    both.sort()
-                    common = int((both[1:] == both[:-1]).sum())
-                    ok[i] = 100 * common >= p.percent * (len(both) - common)
-            yield pa.record_batch([batch.column(0), batch.column(1), pa.array(ok)], names=["a", "b", "ok"])
+    Rows come sorted, each group's star before its partners.
+    """
+    last = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        table = pa.Table.from_batches([batch] if last is None else [last, batch]).combine_chunks()
+        star, part, uid = (table.column(k).to_numpy() for k in (0, 1, 2))
+        new = np.append(True, (star[1:] != star[:-1]) | (part[1:] != part[:-1]))
+        first = np.flatnonzero(new)[np.cumsum(new) - 1]
+        kept = table.slice(int(first[-1]), 1).to_batches()[0]
+        yield star, uid, first, *read([table.column(k).combine_chunks() for k in range(4, table.num_columns)])
+        last = kept
 
-    return run
+
+def _stack(column: pa.Array) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), dtype=U64).reshape(len(column), -1)
 
 
 def _partners(p: NearDup, most: int):
-    """Of two blocks of a bucket: for each class its closest partners of another component.
+    """Of two blocks of a bucket: for each class its closest partners of another component, and whether it has more.
 
     A pair that meets in several bands counts in the first of them only.
     """
@@ -195,34 +210,52 @@ def _partners(p: NearDup, most: int):
         bands = np.array(table.column("bands").combine_chunks().flatten()).reshape(len(uid), -1)
         band = table.column("band")[0].as_py()
         left, right = np.flatnonzero(side != 1), np.flatnonzero(side != 0)
-        out_a, out_b = [], []
+        out_a, out_b, capped = [], [], []
         for i in left:
             to = right[comp[right] != comp[i]]
             to = to[~(bands[to, :band] == bands[i, :band]).any(axis=1)]
             far = np.bitwise_count(odd[to] ^ odd[i]).sum(axis=1)
             near = far <= p.most_bits(n[to], n[i])
             to, far = to[near], far[near]
-            if most and len(to) > most:
+            many = bool(most) and len(to) > most
+            if many:
                 to = to[np.argpartition(far, most - 1)[:most]]
+            capped.append(np.full(len(to), many))
             out_a.append(np.minimum(uid[i], uid[to]))
             out_b.append(np.maximum(uid[i], uid[to]))
         empty = np.zeros(0, np.int64)
-        return pa.table({"a": np.concatenate([empty, *out_a]), "b": np.concatenate([empty, *out_b])})
+        return pa.table({"a": np.concatenate([empty, *out_a]), "b": np.concatenate([empty, *out_b]), "capped": np.concatenate([np.zeros(0, bool), *capped])})
 
     return run
 
 
+def _meet(pairs: DataFrame, payload: DataFrame, weight: str, most: int) -> DataFrame:
+    """``a``, ``part``, ``uid``, ``partner``, payload: each star once beside its partners, in parts of about ``most`` by ``weight``, sorted.
+
+    A hot star's partners are told apart by a hash before anything is joined by
+    star, so that neither it nor its payload meets all of them in one task.
+    """
+    hashed = pairs.select("a", "b", F.col(weight).alias("w") if weight else F.lit(1).cast("long").alias("w"), F.pmod(F.xxhash64("b"), F.lit(64)).alias("h"))
+    counts = hashed.groupBy("a", "h").agg(F.sum("w").alias("w"))
+    totals = counts.groupBy("a").agg(F.sum("w").alias("total"))
+    parts = counts.join(totals, "a").select("a", "h", F.least(F.lit(64), F.ceil(F.col("total") / most)).alias("slots"), F.when(F.col("total") > 64 * most, F.ceil(F.col("w") / most)).otherwise(F.lit(1)).alias("n"))
+    part = F.col("h") % F.col("slots") + 64 * F.pmod(F.xxhash64("b", F.lit(1)), F.col("n"))
+    dealt = hashed.join(parts, ["a", "h"]).select("a", part.cast("long").alias("part"), F.col("b").alias("uid"))
+    ids = dealt.unionByName(dealt.select("a", "part").distinct().select("a", "part", F.col("a").alias("uid")))
+    met = ids.hint("merge").join(payload, "uid")  # one plan at every size
+    met = met.select("a", "part", "uid", (F.col("uid") != F.col("a")).alias("partner"), *[c for c in payload.columns if c != "uid"])
+    return met.repartition("a", "part").sortWithinPartitions("a", "part", "partner")
+
+
 def _check(pairs: DataFrame, nodes: DataFrame, p: NearDup, scratch: Scratch, sketched: bool) -> DataFrame:
     """Pairs (a < b) with ``ok``: whether their full sets confirm the link."""
-    if not sketched:
-        odd = nodes.select("uid", "odd", "n_shingles")
-        pairs = pairs.join(odd.toDF("a", "oa", "na"), "a").join(odd.toDF("b", "ob", "nb"), "b").select("a", "b", "oa", "ob", "na", "nb").mapInArrow(_close(p), "a long, b long")
+    if sketched:
+        pairs = pairs.join(nodes.select(F.col("uid").alias("b"), F.col("n_shingles").alias("nb")), "b").select("a", "b", "nb")
+    else:
+        pairs = _meet(scratch.write(pairs, "pairs"), nodes.select("uid", "n_shingles", "odd"), "", p.block).mapInArrow(_close(p), "a long, b long, nb long")
     pairs = scratch.write(pairs, "candidates")
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("uid")).distinct()
-    sets = scratch.write(nodes.select("uid", "text").join(wanted, "uid", "left_semi").mapInArrow(_sets(p), "uid long, shingles binary"), "sets")
-    joined = pairs.join(sets.toDF("a", "sa"), "a").join(sets.toDF("b", "sb"), "b").select("a", "b", "sa", "sb")
-    out = scratch.write(joined.mapInArrow(_confirmed(p), "a long, b long, ok boolean"), "checked")
-    scratch.drop(pairs, sets)
+    out = scratch.write(_meet(pairs, nodes.select("uid", "text"), "nb", p.confirm).mapInArrow(_confirmed(p), "a long, b long, ok boolean"), "checked")
+    scratch.drop(pairs)
     return out
 
 
@@ -244,49 +277,58 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     p = params or NearDup()
     spark = docs.sparkSession
     scratch = Scratch(spark, "neardup")
-    source = docs.select(F.monotonically_increasing_id().alias("uid"), F.col(text_col).alias("text"), F.col(id_col).cast("long").alias("id"), F.struct(F.lit(0).alias("_no_column"), *[c for c in docs.columns if c != text_col]).alias("row") if carry else F.lit(None).cast("boolean").alias("row"))
+    source = docs.select(F.monotonically_increasing_id().alias("uid"), F.col(text_col).alias("text"), F.col(id_col).cast("long").alias("id"), F.struct(F.lit(0).alias(free_name("none", docs.columns)), *[c for c in docs.columns if c != text_col]).alias("row") if carry else F.lit(None).cast("boolean").alias("row"))
     schema = T.StructType([*source.schema.fields, *T._parse_datatype_string("n_shingles long, k1 long, k2 long, bands array<long>, odd binary").fields])
     base = scratch.write(source.mapInArrow(_sketches(p), schema), "sketches")
 
     some = base.where("n_shingles > 0")
     classes = scratch.write(some.groupBy("k1", "k2").agg(F.min("uid").alias("rep")), "classes")
-    nodes = base.join(classes.select(F.col("rep").alias("uid")), "uid", "left_semi")
-    keyed = nodes.select("uid", F.posexplode("bands").alias("band", "bucket"))
-    starts = keyed.groupBy("band", "bucket").agg(F.min("uid").alias("start"), F.count("*").alias("n")).where("n > 1")
-    members = scratch.write(keyed.join(starts, ["band", "bucket"]), "buckets")
-
-    stars = members.where("uid <> start").select(F.col("start").alias("a"), F.col("uid").alias("b")).distinct()
-    checked = _check(stars, nodes, p, scratch, sketched=False)
-    tested = [checked]
+    keyed = base.select("uid", "bands").join(classes.select(F.col("rep").alias("uid")), "uid", "left_semi").select("uid", F.posexplode("bands").alias("band", "bucket"))
+    starts = keyed.groupBy("band", "bucket").agg(F.min("uid").alias("start"), F.count("*").alias("n")).where("n > 1").select("band", "bucket", "start")
+    members = keyed.join(starts, ["band", "bucket"]).groupBy("uid").agg(F.collect_list(F.struct("band", "bucket", "start")).alias("met"))
+    members = scratch.write(members, "members")  # classes with their buckets, one in each band at most
+    nodes = base.select("uid", "text", "n_shingles", "odd", "bands").join(members.select("uid").hint("merge"), "uid", "left_semi")
+    nodes = scratch.write(nodes, "nodes")  # texts and sketches of the classes that share a bucket; no others are moved
+
+    # the first class of a bucket is its star; each class meets the star that it shares most bands with, and others only if they stay apart
+    stars = members.select(F.col("uid").alias("b"), F.explode("met.start").alias("a")).where("a <> b").groupBy("b", "a").agg(F.count("*").alias("shared"))
+    closest = stars.groupBy("b").agg(F.max(F.struct("shared", (-F.col("a")).alias("a"))).alias("s")).select((-F.col("s.a")).alias("a"), "b")
+    tested = [_check(closest, nodes, p, scratch, sketched=False)]
+    comps = _grown(None, tested[0], scratch)
+    apart = _labelled(members, comps)
+    heads = apart.groupBy("band", "bucket").agg(F.min_by("component", "uid").alias("of"), F.min("component").alias("c0"), F.max("component").alias("c1")).where("c0 < c1").select("band", "bucket", "of")
+    others = apart.join(heads, ["band", "bucket"]).where("component <> of").select(F.col("start").alias("a"), F.col("uid").alias("b")).distinct()
+    others = others.join(tested[0].select("a", "b"), ["a", "b"], "left_anti")
+    tested.append(_check(others, nodes, p, scratch, sketched=False))
+    comps = _grown(comps, tested[1], scratch)
     for most in p.rounds:
-        links = _union(tested).where("ok").select("a", "b")
-        comps = scratch.write(connected_components(links, scratch), "components")
-        labelled = members.join(comps.withColumnRenamed("node", "uid"), "uid", "left").select("band", "bucket", "uid", F.coalesce("component", "uid").alias("component"))
-        split = labelled.groupBy("band", "bucket").agg(F.min("component").alias("c0"), F.max("component").alias("c1"), F.count("*").alias("n")).where("c0 < c1 and n > 2").select("band", "bucket", F.ceil(F.col("n") / p.block).cast("int").alias("parts"))
+        labelled = _labelled(members, comps)
+        # the largest component of a bucket, whose classes are not compared with one another, and the others
+        sizes = labelled.groupBy("band", "bucket", "component").agg(F.count("*").alias("n"))
+        split = sizes.groupBy("band", "bucket").agg(F.max(F.struct("n", "component")).alias("main"), F.sum("n").alias("n"), F.count("*").alias("kinds")).where("kinds > 1 and n > 2")
+        parts = lambda n: F.ceil(n / p.block).cast("int")
+        split = split.select("band", "bucket", F.col("main.component").alias("main"), parts(F.col("main.n")).alias("mains"), parts(F.col("n") - F.col("main.n")).alias("rest"))
         open_rows = scratch.write(labelled.join(split, ["band", "bucket"]), "open")
         if open_rows.isEmpty():
             scratch.drop(open_rows)
             break
-        part = F.pmod(F.xxhash64("uid"), F.col("parts")).cast("int")
-        dealt = (
-            open_rows.withColumn("part", part)
-            .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-            .select("band", "bucket", "component", "uid", F.least("part", "other").alias("p0"), F.greatest("part", "other").alias("p1"), F.when(F.col("part") == F.col("other"), 2).when(F.col("part") < F.col("other"), 0).otherwise(1).alias("side"))
-            .join(nodes.select("uid", "odd", "n_shingles", "bands"), "uid")
-        )
-        pairs = dealt.groupBy("band", "bucket", "p0", "p1").applyInArrow(_partners(p, most), "a long, b long").distinct()
+        named = _dealt(open_rows).join(nodes.select("uid", "odd", "n_shingles", "bands"), "uid").groupBy("band", "bucket", "main", "p0", "p1").applyInArrow(_partners(p, most), "a long, b long, capped boolean")
+        named = scratch.write(named, "named")
+        pairs = named.select("a", "b").distinct()
         for done in tested:
             pairs = pairs.join(done.select("a", "b"), ["a", "b"], "left_anti")
-        fresh = _check(pairs, nodes, p, scratch, sketched=True)
-        tested.append(fresh)
-        scratch.drop(open_rows, comps)
+        tested.append(_check(pairs, nodes, p, scratch, sketched=True))
+        comps = _grown(comps, tested[-1], scratch)
+        done = named.where("capped").isEmpty()  # then every candidate pair has been tested
+        scratch.drop(open_rows, named)
+        if done:
+            break
 
-    comps = scratch.write(connected_components(_union(tested).where("ok").select("a", "b"), scratch), "components")
     rows = base.select("uid", "id", "n_shingles", "k1", "k2")
     roots = classes.join(comps.withColumnRenamed("node", "rep"), "rep", "left").select("k1", "k2", F.coalesce("component", "rep").alias("root"))
     filled = rows.where("n_shingles > 0").join(roots, ["k1", "k2"]).select("uid", "id", "n_shingles", "root")
     grouped = scratch.write(filled.unionByName(rows.where("n_shingles = 0").withColumn("root", F.col("uid")).select("uid", "id", "n_shingles", "root")), "grouped")
-    scratch.drop(classes, members, *tested, *([] if carry else [base]))
+    scratch.drop(classes, nodes, members, *tested, *([] if carry else [base]))
     # a group's smallest id and, of the rows with that id, the first; written, so that the join below stands alone and can be split
     first = F.min(F.struct(F.col("id").isNull().alias("no"), F.col("id"), F.col("uid"))).alias("f")
     heads = scratch.write(grouped.groupBy("root").agg(first).select("root", F.col("f.id").alias("component_id"), F.col("f.uid").alias("keeper_uid")), "heads")
@@ -297,11 +339,37 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return marked.select(F.col("id").alias(id_col), "n_shingles", "component_id", F.expr("id <=> component_id").alias("kept"), "keeper")
 
 
-def _union(frames: list[DataFrame]) -> DataFrame:
-    out = frames[0]
-    for frame in frames[1:]:
-        out = out.union(frame)
-    return out
+def _labelled(members: DataFrame, comps: DataFrame) -> DataFrame:
+    """Classes of each bucket with their component, those without a link being their own."""
+    found = members.join(comps.withColumnRenamed("node", "uid"), "uid", "left")
+    return found.select("uid", F.coalesce("component", "uid").alias("component"), F.inline("met"))
+
+
+def _dealt(rows: DataFrame) -> DataFrame:
+    """Classes of open buckets, dealt to the blocks where they meet: the largest component's with all others', and the others' with one another.
+
+    ``side``: 0 names partners, 1 is named, 2 does both.
+    """
+    part = lambda n: F.pmod(F.xxhash64("uid"), F.col(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    kept = ["band", "bucket", "component", "uid"]
+    main = rows.where("component = main").withColumn("p1", every("rest")).select(*kept, F.lit(True).alias("main"), part("mains").alias("p0"), "p1", F.lit(1).alias("side"))
+    rest = rows.where("component <> main")
+    met = rest.withColumn("p0", every("mains")).select(*kept, F.lit(True).alias("main"), "p0", part("rest").alias("p1"), F.lit(0).alias("side"))
+    own = rest.withColumn("part", part("rest")).withColumn("other", every("rest"))
+    side = F.when(F.col("part") == F.col("other"), 2).when(F.col("part") < F.col("other"), 0).otherwise(1)
+    own = own.select(*kept, F.lit(False).alias("main"), F.least("part", "other").alias("p0"), F.greatest("part", "other").alias("p1"), side.alias("side"))
+    return main.unionByName(met).unionByName(own)
+
+
+def _grown(comps: DataFrame | None, tested: DataFrame, scratch: Scratch) -> DataFrame:
+    """Components once the confirmed ones of ``tested`` join those of before."""
+    links = tested.where("ok").select("a", "b")
+    if comps is not None:
+        if links.isEmpty():
+            return comps
+        links = links.union(comps.select("node", "component"))
+    return scratch.write(connected_components(links, scratch), "components")
 
 
 def op3_minhash_near_dedup(spark, sf_dir: str) -> DataFrame:
