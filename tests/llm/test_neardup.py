@@ -1,3 +1,7 @@
+import os
+
+import pytest
+
 from atlasweave.llm.neardup import NearDup, near_duplicates
 
 from . import cases
@@ -60,3 +64,27 @@ def test_empty_table_and_carry(spark):
     texts = [r.text for r in kept.collect()]
     assert len([t for t in texts if t and t.startswith(cases.documents()[4][1][:40])]) <= 2
     assert sum(t is None or not t.strip() for t in texts) == 3
+
+
+def test_unlinked_and_linked_classes_of_one_bucket(spark):
+    """A large component, small ones and single classes that share most of their words."""
+    import random
+
+    rng = random.Random(15)
+    base = [f"v{k}" for k in range(200)]
+    rows = []
+    for i in range(70):
+        w = list(base)
+        for at in rng.sample(range(200), 2 if i < 40 else rng.choice((8, 9, 10))):
+            w[at] = f"x{i}y{at}" if i < 60 else f"z{i % 5}y{at}"
+        rows.append((i, " ".join(w), "a", "u", "i", "l", 1))
+    for params in (NearDup(), NearDup(block=7, rounds=(1, 0), confirm=300)):
+        got = near_duplicates(cases.frame(spark, rows), params=params).collect()
+        assert sorted(((r.doc_id, r.n_shingles, r.component_id) for r in got), key=str) == brute(rows)
+
+
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.001"), reason="no test tables")
+def test_table_as_brute_force(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    got = near_duplicates(docs).collect()
+    assert sorted(((r.doc_id, r.n_shingles, r.component_id) for r in got), key=str) == brute([(r.doc_id, r.text) for r in docs.select("doc_id", "text").collect()])
