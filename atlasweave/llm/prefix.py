@@ -12,10 +12,10 @@ def running_sum(rows: DataFrame, group: list[str], bucket: str, order: list[Colu
     ``group`` columns and ``bucket`` (long, at least 0) hold no nulls.  Rows are in
     order of ``bucket``, whose order agrees with ``order``, then of ``order``.  Only
     a bucket's rows meet in one task; buckets are added up from their sums, and
-    those in runs of 1,024, so no window grows with the rows themselves.
+    those in runs of 128, so no window grows with the rows themselves.
     """
     rows = rows.withColumn("_v", value)
-    sums = rows.groupBy(*group, bucket).agg(F.sum("_v").alias("_s")).withColumn("_c", F.shiftright(bucket, 10))
+    sums = rows.groupBy(*group, bucket).agg(F.sum("_v").alias("_s")).withColumn("_c", F.shiftright(bucket, 7))
     tops = sums.groupBy(*group, "_c").agg(F.sum("_s").alias("_t"))
     tops = tops.select(*group, "_c", (F.sum("_t").over(Window.partitionBy(*group).orderBy("_c")) - F.col("_t")).alias("_top"))
     inside = sums.withColumn("_in", F.sum("_s").over(Window.partitionBy(*group, "_c").orderBy(bucket)) - F.col("_s"))
