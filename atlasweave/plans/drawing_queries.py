@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import geo
-from ..operators import dedupe, graphs, reconcile, reports, sinks
+from ..operators import dedupe, graphs, lineage, reconcile, reports, sinks
 from ..sources import drawings
 from .registry import Tables, query
 
@@ -223,9 +223,9 @@ def label_written(t: Tables) -> DataFrame:
     return found.groupBy("doc").agg(F.count("*").alias("labelled")).join(again, "doc").select("doc", "labelled", F.col("again").cast("long").alias("again"))
 
 
-def _first(t: Tables) -> DataFrame:
+def _first(t: Tables, rows: DataFrame | None = None) -> DataFrame:
     """Towns by name, of repeated ones the first."""
-    return dedupe.first_wins(drawings.settlements(_rows(t)).where("reason is null and faction = 'empire'"), ["doc", "scope", "name"], "doc_order")
+    return dedupe.first_wins(drawings.settlements(_rows(t) if rows is None else rows).where("reason is null and faction = 'empire'"), ["doc", "scope", "name"], "doc_order")
 
 
 def _gazetteer(t: Tables) -> DataFrame:
@@ -242,8 +242,8 @@ _RICH_SQL = f"""(SELECT t.*, c_mktsegment, k % 11 <> 0 AS known, CASE WHEN k % 1
 _SIZE_SQL = "CASE WHEN population <= 300 THEN 1 WHEN population <= 900 THEN 2 WHEN population <= 3000 THEN 3 WHEN population <= 15000 THEN 4 WHEN population <= 49999 THEN 5 ELSE 6 END::INTEGER"
 
 
-def _rich(t: Tables) -> DataFrame:
-    return reconcile.enrich_settlements(_first(t), _gazetteer(t), F.lit(42))
+def _rich(t: Tables, rows: DataFrame | None = None) -> DataFrame:
+    return reconcile.enrich_settlements(_first(t, rows), _gazetteer(t), F.lit(42))
 
 
 @query(
@@ -290,7 +290,8 @@ def typed_geojson(t: Tables) -> DataFrame:
     UNION ALL SELECT 'roads', road_type, 'count', count(*) FROM {_ROADS_SQL} GROUP BY road_type UNION ALL SELECT 'roads', road_type, 'points', count(*) * 23 FROM {_ROADS_SQL} GROUP BY road_type""",
 )
 def processing_report(t: Tables) -> DataFrame:
-    rows, rich = _rows(t), _rich(t)
+    rows = lineage.cut(_rows(t))  # read by every section
+    rich = lineage.cut(_rich(t, rows))
     status = reconcile.status_of_both(rich, _gazetteer(t), ["faction", "name"])
     return reports.processing_report(rich, drawings.points_of_interest(rows), drawings.region_labels(rows), drawings.water_labels(rows), status, drawings.roads(rows))
 
