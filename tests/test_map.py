@@ -1,11 +1,14 @@
 from pathlib import Path
 
+import duckdb
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from atlasweave.functions import affine, geo, values
+from atlasweave.functions import affine, geo, paths, values
 from atlasweave.functions.paths import Curve, drawn_points
 from atlasweave.operators import dedupe, reconcile, reports, sinks, tiles
+from atlasweave.plans import catalogue
 from atlasweave.sources import drawings, gazetteers
 
 MAP = Path(__file__).parent / "fixtures" / "map.svg"
@@ -106,6 +109,43 @@ def test_paths():
     assert curve.length(0.25, 0.5) == pytest.approx(10)
 
 
+def test_sampled_paths_come_in_frames_of_many(spark, monkeypatch):
+    frames = []
+    plain = pd.DataFrame({"n": [1, 2, 3, 4], "name": ["a", None, "c", "d"], "d": ["M 0 0 L 30 0 L 30 10", "M 0 0 L 4 0", "M 0 0 L 30 0 L 30 10", None]})
+
+    class Paths:
+        """Stands for a table of one batch; notes the frames made of it."""
+
+        columns, schema, sparkSession = list(plain.columns), spark.createDataFrame([], "n long, name string, d string").schema, spark  # noqa: N815
+
+        def repartition(self, n):
+            return self
+
+        def mapInPandas(self, run, schema):  # noqa: N802
+            frames.extend(run(iter([plain])))
+
+    paths.sample_paths(Paths(), 3)
+    assert len(frames) == 1
+    got = [tuple(r) for r in frames[0][["n", "name", "k", "x", "y"]].itertuples(index=False)]
+    assert got[:3] == [(1, "a", 0, 0, 0), (1, "a", 1, 20, 0), (1, "a", 2, 30, 10)] and [r[3] for r in got[3:6]] == [0, 2, 4]
+    assert [r[2:] for r in got[6:9]] == [r[2:] for r in got[:3]] and [r[3:] for r in got[9:]] == [(0, 0)] * 3
+    monkeypatch.setattr(paths, "FRAME_POINTS", 1)  # a frame a path
+    paths.sample_paths(Paths(), 3)
+    assert len(frames) == 5 and pd.concat(frames[1:], ignore_index=True).equals(frames[0])
+    table = spark.createDataFrame([(r.n, r.name, r.d) for r in plain.itertuples()], "n long, name string, d string")
+    assert sorted(tuple(r) for r in paths.sample_paths(table, 3).select("n", "k", "x", "y").collect()) == sorted((r[0], *r[2:]) for r in got)
+
+
+def test_sequential_ids_past_a_thousand_are_as_their_sql(spark, tmp_path):
+    spark.range(1200).select(F.col("id").alias("p_partkey"), F.lit("b").alias("p_brand")).write.parquet(str(tmp_path / "part.parquet"))
+    db = duckdb.connect()
+    db.execute(f"CREATE VIEW part AS SELECT * FROM read_parquet('{tmp_path}/part.parquet/*.parquet')")
+    want = db.execute(catalogue.ORACLE_SQL["sequential_ids"]).fetchall()
+    assert sorted(map(tuple, catalogue.QUERIES["sequential_ids"](spark, str(tmp_path)).collect())) == sorted(want)
+    whole = spark.range(1200).select(drawings.numbered("road", F.lit(0), "id").alias("r"))
+    assert whole.distinct().count() == 1200 and whole.where("r = 'road_1199'").count() == 1
+
+
 def test_tiles(spark):
     every = tiles.manifest(tiles.blocks(spark, 1, 4, 3))
     assert every.count() == sum(4**z for z in range(1, 5)) and every.select("path").distinct().count() == every.count()
