@@ -6,6 +6,7 @@ import xml.etree.ElementTree as ET
 from collections.abc import Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -15,6 +16,7 @@ SCHEMA = "doc string, doc_order long, depth int, tag string, label string, id st
 LABEL = "{http://www.inkscape.org/namespaces/inkscape}label"
 NAMESPACES = (("", "http://www.w3.org/2000/svg"), ("inkscape", "http://www.inkscape.org/namespaces/inkscape"), ("sodipodi", "http://sodipodi.sourceforge.net/DTD/sodipodi-0.dtd"), ("xlink", "http://www.w3.org/1999/xlink"))
 MODE = "{http://www.inkscape.org/namespaces/inkscape}groupmode"
+PIECE, STEP = 1 << 22, 1 << 18  # bytes of a drawing that come to Python at once, and that are parsed at once
 
 
 def _local(tag: str) -> str:
@@ -29,26 +31,70 @@ def _name(elem: ET.Element) -> tuple[str | None, str | None]:
     return own or None, first or None
 
 
-def _walk(doc: str, text: str) -> Iterator[tuple]:
-    root = ET.fromstring(text)
-    order = 0
-    # depth first without recursion, so that deep drawings don't meet the interpreter's limit
-    stack: list[tuple[ET.Element, int, list[str], list[str | None], list[str], list[str]]] = [(root, 0, [], [], [], [])]
-    while stack:
-        elem, depth, path, labels, layers, transforms = stack.pop()
-        tag = _local(elem.tag) if isinstance(elem.tag, str) else "comment"
-        attrs = {_local(k): v for k, v in elem.attrib.items()}
-        label, ident = elem.get(LABEL), elem.get("id")
-        own = [*transforms, elem.get("transform") or ""]
-        name, first = _name(elem) if tag == "text" else (None, None)
-        yield doc, order, depth, tag, label, ident, path, labels, layers, own, name, first, elem.get("x"), elem.get("y"), attrs
-        order += 1
-        if tag in ("text", "comment"):
-            continue
-        below = path + ([label or ident] if tag == "g" and (label or ident) else [])
-        named = labels + ([label or None] if tag == "g" else [])
-        layer = layers + ([label.lower()] if tag == "g" and label and elem.get(MODE) == "layer" else [])
-        stack += [(child, depth + 1, below, named, layer, own) for child in reversed(elem)]
+class _Rows:
+    """Target of a parser that makes rows of the elements as they come, so that no tree of the drawing is ever held."""
+
+    def __init__(self, doc: str):
+        self.doc, self.order, self.found = doc, 0, []
+        # what holds for the children of each open element: path, labels, layers, transforms
+        self.above: list[tuple[list[str], list[str | None], list[str], list[str]]] = [([], [], [], [])]
+        self.text, self.open = None, 0  # a text element is whole when it ends, and nothing inside of it has a row
+
+    def start(self, tag: str, attrib: dict[str, str]) -> None:
+        local = _local(tag)
+        if self.text is None and local == "text":
+            self.text = ET.TreeBuilder()
+        if self.text is not None:
+            self.text.start(tag, attrib)
+            self.open += 1
+            return
+        transforms = self._add(local, attrib, None, None)
+        path, labels, layers, _ = self.above[-1]
+        label, ident = attrib.get(LABEL), attrib.get("id")
+        if local == "g":
+            path = path + ([label or ident] if label or ident else [])
+            labels = labels + [label or None]
+            layers = layers + ([label.lower()] if label and attrib.get(MODE) == "layer" else [])
+        self.above.append((path, labels, layers, transforms))
+
+    def data(self, text: str) -> None:
+        if self.text is not None:
+            self.text.data(text)
+
+    def end(self, tag: str) -> None:
+        if self.text is None:
+            self.above.pop()
+            return
+        self.text.end(tag)
+        self.open -= 1
+        if not self.open:
+            elem = self.text.close()
+            self.text = None
+            self._add("text", elem.attrib, *_name(elem))
+
+    def _add(self, tag: str, attrib: dict[str, str], name: str | None, first: str | None) -> list[str]:
+        path, labels, layers, transforms = self.above[-1]
+        own = [*transforms, attrib.get("transform") or ""]
+        attrs = {_local(k): v for k, v in attrib.items()}
+        self.found.append((self.doc, self.order, len(self.above) - 1, tag, attrib.get(LABEL), attrib.get("id"), path, labels, layers, own, name, first, attrib.get("x"), attrib.get("y"), list(attrs.items())))
+        self.order += 1
+        return own
+
+
+def _pieces(documents: DataFrame) -> DataFrame:
+    """``doc``, ``part``, ``last`` and ``piece``: each drawing's text as bytes, cut into pieces that follow one another; one piece, null or empty, where there is no text."""
+    size = F.greatest(F.coalesce(F.ceil(F.octet_length("xml") / PIECE), F.lit(1)), F.lit(1)).cast("int")
+    cut = F.transform(F.sequence(F.lit(0), size - 1), lambda i: F.substring(F.col("xml").cast("binary"), i * PIECE + 1, F.lit(PIECE)))
+    return documents.select("doc", size.alias("n"), F.posexplode(cut).alias("part", "piece")).select("doc", "part", (F.col("part") == F.col("n") - 1).alias("last"), "piece")
+
+
+def _fed(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, bool, bool, memoryview]]:
+    """Drawing, whether its text begins and ends, and the text in small steps."""
+    for batch in batches:
+        for doc, part, last, piece in zip(*batch.columns, strict=True):
+            view = memoryview(piece.as_buffer()) if piece.is_valid else memoryview(b"")
+            for at in range(0, max(len(view), 1), STEP):
+                yield doc.as_py(), part.as_py() == 0 and at == 0, last.as_py() and at + STEP >= len(view), view[at : at + STEP]
 
 
 def flatten(documents: DataFrame) -> DataFrame:
@@ -57,17 +103,27 @@ def flatten(documents: DataFrame) -> DataFrame:
     ``path`` holds the labels (else ids) of the groups around it, outermost first, for
     messages; ``labels`` the labels alone, null for a group without one; ``layers``
     those of its layers in lower case, ``transforms`` all transforms down
-    to its own.  A drawing is one row, so drawings spread over the cluster.
+    to its own.  A drawing is one row, so drawings spread over the cluster.  It comes to
+    Python in pieces and is parsed as they come.
     """
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        columns = [c.split()[0] for c in SCHEMA.split(", ")]
-        for batch in batches:
-            for doc, text in zip(batch["doc"], batch["xml"], strict=True):
-                if text:
-                    yield pd.DataFrame(list(_walk(doc, text)), columns=columns)
-
-    return documents.select("doc", "xml").mapInPandas(run, SCHEMA)
+    kinds = {"string": pa.string(), "long": pa.int64(), "int": pa.int32(), "array<string>": pa.list_(pa.string()), "map<string,string>": pa.map_(pa.string(), pa.string())}
+    columns = [c.split() for c in SCHEMA.split(", ")]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows, parser = None, None
+        for doc, begins, ends, text in _fed(batches):
+            if begins:
+                rows = _Rows(doc)
+                parser = ET.XMLParser(target=rows, encoding="utf-8") if len(text) else None
+            if parser:
+                parser.feed(text)
+                if ends:
+                    parser.close()
+            if rows.found:
+                yield pa.RecordBatch.from_arrays([pa.array(v, kinds[k]) for v, (_, k) in zip(zip(*rows.found, strict=True), columns, strict=True)], names=[c for c, _ in columns])
+                rows.found = []
+
+    return _pieces(documents).mapInArrow(run, SCHEMA)
 
 
 def read_drawings(spark: SparkSession, path: str) -> DataFrame:

@@ -3,6 +3,7 @@
 import os
 
 import duckdb
+import pyarrow as pa
 import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
@@ -53,6 +54,36 @@ def test_labels_are_written_only_where_something_changes(spark):
     assert got["other"][0].startswith('<?xml version="1.0"?>\n<svg xmlns=') and 'inkscape:label="y"' in got["other"][0] and 'label="z"' not in got["other"][0]
 
 
+def test_drawings_are_flattened_as_their_pieces_come(spark, monkeypatch):
+    monkeypatch.setattr(drawings, "PIECE", 5)  # pieces end inside of tags and characters
+    names = ["Ä &amp; ü", "B<!-- c -->b", "<tspan>C</tspan> <g><tspan> d </tspan></g>"]
+    xml = f'<?xml version="1.0" encoding="ISO-8859-1"?><svg {NS}><g inkscape:label="Ö" transform="scale(2)">' + "".join(f'<text x="{i}">{n}</text>' for i, n in enumerate(names)) + "</g><path/></svg>"
+    asked = spark.createDataFrame([("a", xml), ("b", ""), ("c", None), ("d", xml)], "doc string, xml string")
+    got = [(r.doc, r.doc_order, r.depth, r.tag, r.labels, r.name, r.first_span) for r in drawings.flatten(asked).orderBy("doc", "doc_order").collect()]
+    rows = [(0, 0, "svg", [], None, None), (1, 1, "g", [], None, None), (2, 2, "text", ["Ö"], "Ä & ü", None), (3, 2, "text", ["Ö"], "Bb", None), (4, 2, "text", ["Ö"], "C", "C"), (5, 1, "path", [], None, None)]
+    assert got == [(doc, *r) for doc in "ad" for r in rows]
+
+
+def test_rows_leave_while_a_drawing_is_still_read(spark, monkeypatch):
+    read, taken = [], {}
+    xml = f"<svg {NS}>" + "<text>x</text>" * 5000 + "</svg>"
+
+    def pieces():
+        for i in range(0, len(xml), 1000):
+            read.append(i)
+            yield pa.RecordBatch.from_arrays([pa.array(["d"]), pa.array([i // 1000], pa.int32()), pa.array([i + 1000 >= len(xml)]), pa.array([xml[i : i + 1000].encode()])], names=["doc", "part", "last", "piece"])
+
+    class Pieces:
+        def mapInArrow(self, run, schema):  # noqa: N802
+            taken["run"] = run
+
+    monkeypatch.setattr(drawings, "_pieces", lambda documents: Pieces())
+    drawings.flatten(None)
+    out = taken["run"](pieces())
+    assert next(out).num_rows < 200 and len(read) == 1
+    assert sum(b.num_rows for b in out) > 4800
+
+
 def test_networks_of_several_drawings_stay_apart(spark):
     paths = [("p1", 0, "M 0 0 L 100 0", None), ("p2", 1, "M 50 -40 L 50 60", None)]
     places = [("X", 2.0, 1.0), ("Y", 51.0, 58.0)]
