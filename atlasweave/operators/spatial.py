@@ -4,10 +4,11 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.geo import distance
+from . import lineage
 
 
 def _cell(c: str, size: float) -> Column:
@@ -27,13 +28,66 @@ def distance_join(a: DataFrame, b: DataFrame, within: float, ax: str = "ax", ay:
     return met.where(F.col("dist") < within).drop("_i", "_j")
 
 
-def nearest(a: DataFrame, b: DataFrame, a_id: str, within: float, carried: list[str], tie: list[str], on: tuple[str, ...] = (), **columns: str) -> DataFrame:
-    """For each row of ``a`` the nearest row of ``b`` nearer than ``within``; ties by ``tie``."""
-    met = distance_join(a, b, within, on=on, **columns)
-    best = F.min(F.struct("dist", *tie, *[c for c in carried if c not in tie])).alias("_b")
+def nearest(a: DataFrame, b: DataFrame, a_id: str, within: float, carried: list[str], tie: list[str], on: tuple[str, ...] = (), levels: int = 0, **columns: str) -> DataFrame:
+    """For each row of ``a`` the nearest row of ``b`` nearer than ``within``; ties by ``tie``.
+
+    Without ``levels`` each row meets all rows of the nine cells around it, which suits
+    few rows a cell.  With them, cells are divided by 4 along each axis so many times, and a
+    search goes down only into cells that can hold the nearest row: work grows with
+    the rows, not with their product, as long as the smallest cells hold few places.
+    """
+    fields = [*tie, *[c for c in carried if c not in tie]]
+    if levels:
+        met = _descended(a, b, within, fields, on, levels, **columns)
+    else:
+        met = distance_join(a, b, within, on=on, **columns)
+    best = F.min(F.struct("dist", *fields)).alias("_b")
     return met.groupBy(*on, a_id).agg(best).select(*on, a_id, "_b.*")
 
 
+def _descended(a: DataFrame, b: DataFrame, within: float, fields: list[str], on: tuple[str, ...], levels: int, ax: str = "ax", ay: str = "ay", bx: str = "bx", by: str = "by") -> DataFrame:
+    """Rows of ``a`` with ``dist`` and ``fields`` of their nearest row of ``b``, found by branch and bound over a pyramid of cells."""
+    size = [within / 4**k for k in range(levels + 1)]
+    at = lambda c, k: F.floor(F.col(c) / F.lit(size[k])).cast("long")
+    # rows of one place differ in their ties only
+    places = b.select(*on, F.col(bx).alias("_px"), F.col(by).alias("_py"), F.struct(*fields).alias("_v")).groupBy(*on, "_px", "_py").agg(F.min("_v").alias("_v"))
+    places = lineage.cut(places.where("not isnan(_px) and not isnan(_py)"))
+    cells = [F.struct(F.lit(k).alias("k"), at("_px", k).alias("i"), at("_py", k).alias("j")) for k in range(levels + 1)]
+    # a place stands for each cell
+    pyramid = places.select(*on, "_px", "_py", F.explode(F.array(*cells)).alias("_c")).groupBy(*on, "_c.k", "_c.i", "_c.j").agg(F.min(F.struct("_px", "_py")).alias("_r"))
+    pyramid = lineage.cut(pyramid)
+    me = [*on, "_ax", "_ay"]
+    asked = a.select(*on, F.col(ax).alias("_ax"), F.col(ay).alias("_ay")).where("not isnan(_ax) and not isnan(_ay)").distinct()
+    far = distance(F.col("_ax"), F.col("_ay"), F.col("_r._px"), F.col("_r._py"))
+
+    def around(k: int) -> Column:
+        return F.array(*[F.struct(F.lit(k).alias("k"), (at("_ax", k) + i).alias("i"), (at("_ay", k) + j).alias("j")) for i in (-1, 0, 1) for j in (-1, 0, 1)])
+
+    def reaches(k: int) -> Column:
+        """Whether a cell may hold a place as near as the bound, with room for rounding."""
+        gap = lambda p, c: F.greatest(F.col(c) * size[k] - F.col(p), F.col(p) - (F.col(c) + 1) * size[k], F.lit(0.0))
+        dx, dy = gap("_ax", "i"), gap("_ay", "j")
+        return F.sqrt(dx * dx + dy * dy) <= F.col("_u") * (1 + 1e-9) + (F.abs("_ax") + F.abs("_ay")) * 1e-12
+
+    # a first bound from the places that stand for the cells around, of every size
+    near = asked.select(*me, F.explode(F.concat(*[around(k) for k in range(levels + 1)])).alias("_c")).select(*me, "_c.*")
+    bound = near.join(pyramid, [*on, "k", "i", "j"]).groupBy(*me).agg(F.least(F.min(far), F.lit(float(within))).alias("_u"))
+    left = bound.select(*me, "_u", F.explode(around(0)).alias("_c")).select(*me, "_u", "_c.i", "_c.j").where(reaches(0))
+    for k in range(1, levels + 1):
+        below = pyramid.where(F.col("k") == k).select(*on, F.shiftright("i", 2).alias("_pi"), F.shiftright("j", 2).alias("_pj"), "i", "j", "_r")
+        down = left.withColumnsRenamed({"i": "_pi", "j": "_pj"}).join(below, [*on, "_pi", "_pj"]).where(reaches(k))
+        closer = F.least(F.col("_u"), F.min(far).over(Window.partitionBy(*me)))
+        left = down.withColumn("_u", closer).where(reaches(k)).select(*me, "_u", "i", "j")
+    held = places.withColumn("i", at("_px", levels)).withColumn("j", at("_py", levels))
+    dist = distance(F.col("_ax"), F.col("_ay"), F.col("_px"), F.col("_py"))
+    found = left.join(held, [*on, "i", "j"]).select(*me, dist.alias("dist"), "_v").where(F.col("dist") < within)
+    found = found.groupBy(*me).agg(F.min(F.struct("dist", "_v")).alias("_b")).select(*[F.col(c).alias(f"_on_{c}") for c in on], "_ax", "_ay", "_b.dist", "_b._v.*")
+    same = (F.col(ax) == F.col("_ax")) & (F.col(ay) == F.col("_ay"))
+    for c in on:
+        same = same & (F.col(c) == F.col(f"_on_{c}"))
+    return a.select(*[c for c in a.columns if c not in fields and c != "dist"]).join(found, same)
+
+
 def bounds(points: DataFrame, *group: str) -> DataFrame:
     """Box of each group's points (x, y)."""
     return points.groupBy(*group).agg(F.min("x").alias("x0"), F.min("y").alias("y0"), F.max("x").alias("x1"), F.max("y").alias("y1"))

@@ -1,3 +1,4 @@
+import math
 import random
 
 import pytest
@@ -74,6 +75,23 @@ def test_grid_join_is_the_plain_join(spark):
         assert r.j == min(b, key=lambda q: ((x - q[1]) ** 2 + (y - q[2]) ** 2, q[0]))[0]
 
 
+def test_nearest_over_levels_is_the_plain_search(spark):
+    rng = random.Random(3)
+    towns = [(rng.uniform(-9, 9), rng.uniform(-9, 9)) for _ in range(3)]
+    b = [(d, i, *(rng.gauss(c, 0.05) for c in rng.choice(towns))) for i in range(400) for d in "pq"]  # clumps that most rows lie beside
+    b += [(d, 1000 + i, float(i % 5), 0.0) for i in range(40) for d in "pq"]  # places that many share
+    a = [(d, i, rng.uniform(-12, 12), rng.uniform(-12, 12)) for i in range(150) for d in "pq"] + [("p", 900, 2.5, 0.0), ("p", 901, 2.5, 0.0), ("r", 902, 0.0, 0.0), ("p", 903, float("nan"), 0.0), ("p", 904, None, 0.0), ("p", 905, 14.0, 0.0)]
+    asked, points = spark.createDataFrame(a, "doc string, i int, ax double, ay double"), spark.createDataFrame(b, "doc string, j int, bx double, by double")
+    near = spatial.nearest(asked, points, "i", 4.0, ["j", "bx"], ["j"], on=("doc",), levels=3)
+    want = {}
+    for d, i, x, y in a:
+        found = [(math.sqrt((x - u) ** 2 + (y - v) ** 2), j) for e, j, u, v in b if x is not None and e == d]
+        if found and min(found)[0] < 4:
+            want[d, i] = min(found)[1]
+    assert near.columns == ["doc", "i", "dist", "j", "bx"] and len(want) > 100
+    assert {(r.doc, r.i): r.j for r in near.collect()} == want
+
+
 def test_thinning(spark):
     rng = random.Random(2)
     points = [(0, i, rng.uniform(0, 30), rng.uniform(0, 30)) for i in range(200)]
