@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import shutil
+import tempfile
 import xml.etree.ElementTree as ET
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -287,39 +288,140 @@ def relabelled(rows: DataFrame) -> DataFrame:
     return rows.where("tag = 'text'").select("doc", "doc_order", "path", "label", "name", F.when(F.col("name").isNull(), "no_text").when(F.col("label").eqNullSafe(F.col("name")), "already").otherwise("updated").alias("status"))
 
 
+class _Open:
+    """An element that hasn't ended: whether its children are reached and get labels, and its text up to its first child."""
+
+    __slots__ = ("tag", "attrib", "live", "labelled", "parts", "spans", "leading", "bare", "slot")
+
+    def __init__(self, tag: str, attrib: dict[str, str], live: bool, labelled: bool, collected: bool):
+        self.tag, self.attrib, self.live, self.labelled = tag, attrib, live, labelled
+        self.parts, self.spans = [] if collected else None, []
+        self.leading, self.bare, self.slot = True, True, -1
+
+    def own(self) -> str:
+        return "".join(self.parts).strip()
+
+
+class _Labels:
+    """Target of a parser that counts the labels to write and, given ``write`` and the prefixed names, writes the drawing with them.
+
+    It notes the names in the order in which a tree's serializer meets them, since
+    that numbers the prefixes of unknown namespaces.
+    """
+
+    GROUP, TEXT = "{http://www.w3.org/2000/svg}g", "{http://www.w3.org/2000/svg}text"
+
+    def __init__(self, layers: list[str], write: Callable[[bytes], object] | None = None, names: tuple[dict, dict] | None = None):
+        self.wanted, self.write, self.names = set(layers), write, names
+        self.changed, self.met, self.stack, self.out, self.waiting = 0, {}, [], [], 0
+
+    def start(self, tag: str, attrib: dict[str, str]) -> None:
+        top = self.stack[-1] if self.stack else None
+        first = tag == self.GROUP and attrib.get(LABEL) in self.wanted
+        if first:
+            self.wanted.discard(attrib[LABEL])
+        labelled = bool(top and top.live and tag == self.TEXT)
+        own = _Open(tag, attrib, first or bool(top and top.live and tag == self.GROUP), labelled, labelled or bool(top and top.labelled and _local(tag) == "tspan"))
+        if top:
+            top.leading = False
+        if self.write is None:
+            self.met.setdefault(tag, True)
+            for key in attrib:
+                self.met.setdefault(key, False)
+        else:
+            self._close_tag(top)
+            own.slot = len(self.out)
+            self.out.append(None if labelled else self._tag(own, not self.stack))
+            self.waiting += labelled
+        self.stack.append(own)
+
+    def data(self, text: str) -> None:
+        top = self.stack[-1]
+        if top.leading and top.parts is not None:
+            top.parts.append(text)
+        if self.write is not None:
+            self._close_tag(top)
+            self.out.append(ET._escape_cdata(text))
+
+    def end(self, tag: str) -> None:
+        own = self.stack.pop()
+        if own.labelled:
+            name = " ".join(own.spans).strip() if any(own.spans) else own.own()
+            if name and own.attrib.get(LABEL) != name:
+                own.attrib[LABEL] = name
+                self.changed += 1
+        if own.parts is not None and self.stack and self.stack[-1].labelled and _local(tag) == "tspan":
+            self.stack[-1].spans.append(own.own())
+        if self.write is None:
+            return
+        if own.labelled:
+            self.out[own.slot] = self._tag(own, not self.stack)
+            self.waiting -= 1
+        self.out.append(" />" if own.bare else f"</{self.names[0][tag]}>")
+        if not self.waiting and (len(self.out) > 1000 or not self.stack):
+            self.write("".join(self.out).encode())
+            self.out = []
+
+    def _close_tag(self, top: _Open | None) -> None:
+        if top and top.bare:
+            top.bare = False
+            self.out.append(">")
+
+    def _tag(self, own: _Open, root: bool) -> str:
+        names, spaces = self.names
+        declared = [f' xmlns{":" + p if p else ""}="{ET._escape_attrib(uri)}"' for uri, p in sorted(spaces.items(), key=lambda x: x[1])] if root else []
+        return "".join(["<", names[own.tag], *declared, *[f' {names[k]}="{ET._escape_attrib(v)}"' for k, v in own.attrib.items()]])
+
+    def prefixed(self) -> tuple[dict, dict]:
+        """Names with their prefixes and the namespaces, as the serializer gives them to a tree that has these names in this order."""
+        root, *others = self.met
+        tree = ET.Element(root)
+        for name in others:
+            ET.SubElement(tree, name if self.met[name] else root, {} if self.met[name] else {name: ""})
+        return ET._namespaces(tree)
+
+
 def with_labels(documents: DataFrame, layers: list[str]) -> DataFrame:
     """Drawings whose text elements below the first group of each layer's label carry their text as label, with ``changed``: how many are new.
 
     A drawing in which nothing changes stays as it was, byte for byte; one that
     changes keeps its XML declaration.  Elements are reached through groups only.
+    A drawing is read twice from a local file, once to count and once to write, and never held as a tree.
     """
-    group, svg = "{http://www.w3.org/2000/svg}g", "{http://www.w3.org/2000/svg}text"
 
-    def rewritten(text: str) -> tuple[str, int]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for prefix, uri in NAMESPACES:
             ET.register_namespace(prefix, uri)
-        root, changed = ET.fromstring(text), 0
-        for layer in layers:
-            todo = [next((g for g in root.iter(group) if g.get(LABEL) == layer), None)]
-            while todo:
-                for elem in todo.pop() or ():
-                    name = _name(elem)[0] if elem.tag == svg else None
-                    if elem.tag == group:
-                        todo.append(elem)
-                    elif name and elem.get(LABEL) != name:
-                        elem.set(LABEL, name)
-                        changed += 1
-        if not changed:
-            return text, 0
-        head = text[: text.index("?>") + 2] + "\n" if text.startswith("<?xml") else ""
-        return head + ET.tostring(root, encoding="unicode"), changed
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            got = [rewritten(x) if x else (x, 0) for x in batch["xml"]]
-            yield pd.DataFrame({"doc": batch["doc"], "xml": [x for x, _ in got], "changed": [n for _, n in got]})
-
-    return documents.select("doc", "xml").mapInPandas(run, "doc string, xml string, changed int")
+        for doc, begins, ends, text in _fed(batches):
+            if begins:
+                given, empty, labels = tempfile.TemporaryFile(), not len(text), _Labels(layers)
+                parser = ET.XMLParser(target=labels, encoding="utf-8")
+            given.write(text)
+            if not empty:
+                parser.feed(text)
+            if not ends:
+                continue
+            with given, pa.BufferOutputStream() as out:
+                if not empty:
+                    parser.close()
+                given.seek(0)
+                if not labels.changed:
+                    shutil.copyfileobj(given, out, STEP)
+                else:
+                    head = given.read(STEP)
+                    if head.startswith(b"<?xml"):
+                        out.write(head[: head.index(b"?>") + 2] + b"\n")
+                    writer = ET.XMLParser(target=_Labels(layers, out.write, labels.prefixed()), encoding="utf-8")
+                    writer.feed(head)
+                    while more := given.read(STEP):
+                        writer.feed(more)
+                    writer.close()
+                xml = out.getvalue()
+            made = pa.StringArray.from_buffers(1, pa.array([0, xml.size], pa.int32()).buffers()[1], xml)
+            yield pa.RecordBatch.from_arrays([pa.array([doc], pa.string()), made, pa.array([labels.changed], pa.int32())], names=["doc", "xml", "changed"])
+
+    absent = documents.where("xml is null").select("doc", "xml", F.lit(0).alias("changed"))
+    return _pieces(documents.where("xml is not null")).mapInArrow(run, "doc string, xml string, changed int").unionByName(absent)
 
 
 def hidden_element(rows: DataFrame, name: str = "Frame (Old World)") -> DataFrame:

@@ -84,6 +84,41 @@ def test_rows_leave_while_a_drawing_is_still_read(spark, monkeypatch):
     assert sum(b.num_rows for b in out) > 4800
 
 
+def test_labels_are_written_without_a_tree(spark, monkeypatch):
+    rest = '<q:z xmlns:q="urn:q" q:a="1&quot;"/><text inkscape:label="B">x</text>&gt;<text/>'
+    body = '<g inkscape:label="A"><text>a &amp; <!-- c -->b</text><g><text id="t"><tspan> C </tspan><tspan>d</tspan></text></g><a><text>no</text></a><text inkscape:label="e">e</text></g>'
+    xml = f'<?xml version="1.0"?>\n<svg {NS}>{body}<g inkscape:label="A"><text>second</text></g>{rest}</svg>'
+    taken = {}
+
+    class Pieces:
+        def mapInArrow(self, run, schema):  # noqa: N802
+            taken["run"] = run
+            return self
+
+        def unionByName(self, other):  # noqa: N802
+            return self
+
+    tables = spark.createDataFrame([("d", xml)], "doc string, xml string")
+    with monkeypatch.context() as m:
+        m.setattr(drawings, "_pieces", lambda documents: Pieces())
+        m.setattr(drawings.ET, "fromstring", lambda text: pytest.fail("a tree of the whole drawing"))
+        drawings.with_labels(tables, ["A"])
+        data = xml.encode()
+        steps = [data[i : i + 7] for i in range(0, len(data), 7)]
+        batch = pa.RecordBatch.from_arrays([pa.array(["d"] * len(steps)), pa.array(range(len(steps)), pa.int32()), pa.array([i + 1 == len(steps) for i in range(len(steps))]), pa.array(steps)], names=["doc", "part", "last", "piece"])
+        made = next(taken["run"](iter([batch]))).to_pylist()[0]
+    # as a tree is written
+    for prefix, uri in drawings.NAMESPACES:
+        drawings.ET.register_namespace(prefix, uri)
+    tree = drawings.ET.fromstring(xml)
+    texts = list(tree.iter("{http://www.w3.org/2000/svg}text"))
+    texts[0].set(drawings.LABEL, "a & b")
+    texts[1].set(drawings.LABEL, "C d")
+    assert made == {"doc": "d", "xml": '<?xml version="1.0"?>\n' + drawings.ET.tostring(tree, encoding="unicode"), "changed": 2}
+    got = drawings.with_labels(tables, ["A"]).collect()
+    assert [r.asDict() for r in got] == [made]
+
+
 def test_networks_of_several_drawings_stay_apart(spark):
     paths = [("p1", 0, "M 0 0 L 100 0", None), ("p2", 1, "M 50 -40 L 50 60", None)]
     places = [("X", 2.0, 1.0), ("Y", 51.0, 58.0)]
