@@ -34,6 +34,13 @@ def distance(x0: Column, y0: Column, x1: Column, y1: Column) -> Column:
     return F.sqrt((x0 - x1) * (x0 - x1) + (y0 - y1) * (y0 - y1))
 
 
+def rounded(c: Column, places: int) -> Column:
+    """A length rounded as DuckDB does it, halves up, in plain doubles: Spark's own ``round`` makes a decimal of each value."""
+    scaled = c * 10.0**places
+    whole = F.floor(scaled)
+    return (whole + F.when(scaled - whole >= 0.5, 1).otherwise(0)) / 10.0**places
+
+
 def frame_resolution(zoom: Column) -> Column:
     """Degrees a pixel of the frame's tiles."""
     return F.lit(FRAME_SPAN) / (TILE_PIXELS * F.pow(F.lit(2.0), zoom))

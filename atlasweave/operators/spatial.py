@@ -28,6 +28,36 @@ def distance_join(a: DataFrame, b: DataFrame, within: float, ax: str = "ax", ay:
     return met.where(F.col("dist") < within).drop("_i", "_j")
 
 
+def pairs_within(points: DataFrame, key: str, within: float, x: str = "x", y: str = "y", block: int = 2048) -> DataFrame:
+    """Pairs of rows nearer than ``within``, each once: ``a`` < ``b``, their keys, and ``dist``.
+
+    A row meets its own cell and four of the eight around it, as its other neighbours meet it.
+    A cell of more than ``block`` rows is dealt out in parts of about that size, each met by all
+    askers: the join keeps one part in memory, its sorts spill, and a full cell is the
+    work of many tasks.  What is shuffled are five rows for each, and as many for each further
+    part of a cell; what is returned grows with the square of a cell's rows.
+    """
+    size = within * 1.0001  # near rows stay in neighbouring cells when quotients are rounded
+    cell = lambda c: F.floor(F.greatest(F.lit(-1e18), F.least(F.lit(1e18), F.col(c) / size)))
+    rows = points.select(F.col(key).alias("_k"), F.col(x).cast("double").alias("_x"), F.col(y).cast("double").alias("_y"))
+    rows = rows.where(F.col("_k").isNotNull() & (F.abs("_x") < float("inf")) & (F.abs("_y") < float("inf"))).withColumn("_i", cell("_x")).withColumn("_j", cell("_y"))
+    # few cells are full: one for each ``block`` rows at most
+    full = F.broadcast(rows.groupBy("_i", "_j").count().where(F.col("count") > block).select("_i", "_j", F.ceil(F.col("count") / block).cast("int").alias("_n")))
+    parts = F.coalesce("_n", F.lit(1))
+    # a number of tasks, as Spark would coalesce them by bytes while work goes by pairs
+    spark = points.sparkSession
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 4 * spark.sparkContext.defaultParallelism)
+    held = rows.join(full, ["_i", "_j"], "left").withColumn("_s", F.pmod(F.xxhash64("_k"), parts).cast("int")).drop("_n")
+    around = F.array(*[F.struct((F.col("_i") + i).alias("i"), (F.col("_j") + j).alias("j"), F.lit(i == j == 0).alias("own")) for i, j in ((0, 0), (0, 1), (1, -1), (1, 0), (1, 1))])
+    asks = rows.select(F.col("_k").alias("_l"), F.col("_x").alias("_u"), F.col("_y").alias("_v"), F.explode(around).alias("_c")).select("_l", "_u", "_v", F.col("_c.i").alias("_i"), F.col("_c.j").alias("_j"), F.col("_c.own").alias("_own"))
+    asks = asks.join(full, ["_i", "_j"], "left").withColumn("_s", F.explode(F.sequence(F.lit(0), parts - 1))).drop("_n")
+    at = ["_i", "_j", "_s"]
+    met = asks.repartition(tasks, *at).join(held.repartition(tasks, *at).hint("merge"), at)
+    dist = distance(F.col("_u"), F.col("_v"), F.col("_x"), F.col("_y"))
+    once = F.when(F.col("_own"), F.col("_l") < F.col("_k")).otherwise(F.col("_l") != F.col("_k"))
+    return met.where((dist < within) & once).select(F.least("_l", "_k").alias("a"), F.greatest("_l", "_k").alias("b"), dist.alias("dist"))
+
+
 def nearest(a: DataFrame, b: DataFrame, a_id: str, within: float, carried: list[str], tie: list[str], on: tuple[str, ...] = (), levels: int = 0, **columns: str) -> DataFrame:
     """For each row of ``a`` the nearest row of ``b`` nearer than ``within``; ties by ``tie``.
 

@@ -151,10 +151,7 @@ def nearest_point(t: Tables) -> DataFrame:
 
 @query("distance_join", f"SELECT a.c_custkey AS a, b.c_custkey AS b, round(sqrt((a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y)), 6) AS dist FROM {POINTS_SQL} a, {POINTS_SQL} b WHERE a.c_custkey < b.c_custkey AND sqrt((a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y)) < 1.5")
 def distance_join(t: Tables) -> DataFrame:
-    p = _points(t)
-    a = p.select(F.col("c_custkey").alias("a"), F.col("x").alias("ax"), F.col("y").alias("ay"))
-    b = p.select(F.col("c_custkey").alias("b"), F.col("x").alias("bx"), F.col("y").alias("by"))
-    return spatial.distance_join(a, b, 1.5).where("a < b").select("a", "b", F.round("dist", 6).alias("dist"))
+    return spatial.pairs_within(_points(t), "c_custkey", 1.5).select("a", "b", geo.rounded(F.col("dist"), 6).alias("dist"))
 
 
 @query(

@@ -32,5 +32,14 @@ def test_as_duckdb(spark, name):
     assert sorted(map(str, map(key, got.select(*columns).collect()))) == sorted(map(str, map(key, want.fetchall())))
 
 
+def test_distances_are_rounded_as_in_the_sql(spark, tmp_path):
+    balances = [0.0, 0.04915, 0.02325, 0.19755, 0.20315, 149.99, 150.0, -150.0]
+    db = duckdb.connect()
+    db.execute(f"COPY (SELECT unnest(range({len(balances)})) * 97 AS c_custkey, unnest({balances}::DOUBLE[]) AS c_acctbal, 1 AS c_nationkey) TO '{tmp_path}/customer.parquet'")
+    db.execute(f"CREATE VIEW customer AS SELECT * FROM '{tmp_path}/customer.parquet'")
+    want = db.execute(catalogue.ORACLE_SQL["distance_join"]).fetchall()
+    assert len(want) > 10 and sorted(want) == sorted(map(tuple, catalogue.QUERIES["distance_join"](spark, str(tmp_path)).collect()))
+
+
 def test_entry(spark):
     assert driver.entry(spark).count() > 0

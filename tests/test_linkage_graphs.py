@@ -75,6 +75,28 @@ def test_grid_join_is_the_plain_join(spark):
         assert r.j == min(b, key=lambda q: ((x - q[1]) ** 2 + (y - q[2]) ** 2, q[0]))[0]
 
 
+@pytest.mark.parametrize("block", [8, 2048])
+def test_pairs_within_is_the_plain_join(spark, block):
+    rng = random.Random(4)
+    rows = [(i, rng.uniform(-5, 5), rng.uniform(-5, 5)) for i in range(150)] + [(200 + i, rng.gauss(-1, 0.1), rng.gauss(2, 0.1)) for i in range(60)]
+    rows += [(300 + i, 1.3 * (i % 4), -1.3) for i in range(12)]  # on the edges of cells, and copies
+    rng.shuffle(rows)
+    rows += [(7, 0.0, 0.0), (None, 0.0, 0.0), (400, None, 0.0), (401, float("nan"), 0.0), (402, float("inf"), 0.0), (403, float("inf"), 0.0), (404, 1e300, 0.0), (405, 1e300, 0.0)]
+    got = spatial.pairs_within(spark.createDataFrame(rows, "id int, x double, y double"), "id", 1.3, block=block)
+    far = lambda x, y, u, v: math.sqrt((x - u) * (x - u) + (y - v) * (y - v))
+    placed = [r for r in rows if None not in r]
+    want = sorted((i, j, far(x, y, u, v)) for i, x, y in placed for j, u, v in placed if i < j and far(x, y, u, v) < 1.3)
+    assert got.columns == ["a", "b", "dist"] and len(want) > 2000
+    assert sorted(map(tuple, got.collect())) == want
+
+
+def test_pairs_of_a_full_cell_are_the_work_of_many_tasks(spark):
+    points = spark.range(200).select("id", (F.col("id") / 1000).alias("x"), (F.col("id") % 7 / 1000).alias("y"))
+    got = spatial.pairs_within(points, "id", 1.0, block=10).select(F.spark_partition_id().alias("task"))
+    shares = [r["count"] for r in got.groupBy("task").count().collect()]
+    assert sum(shares) == 200 * 199 / 2 and max(shares) < sum(shares) / 2
+
+
 def test_nearest_over_levels_is_the_plain_search(spark):
     rng = random.Random(3)
     towns = [(rng.uniform(-9, 9), rng.uniform(-9, 9)) for _ in range(3)]
